@@ -31,7 +31,7 @@ def micros(ts: Column | str) -> Column:
 
 
 def from_micros(us: Column) -> Column:
-    return F.timestampadd("MICROSECOND", us, EPOCH())
+    return F.timestamp_add("MICROSECOND", us, EPOCH())
 
 
 def floor_ts(ts: Column | str, seconds: int) -> Column:
