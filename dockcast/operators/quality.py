@@ -68,13 +68,14 @@ def quality_check(frame: DataFrame, required: list[str]) -> DataFrame:
     structs = []
     for c in required:
         ok = c in present
-        nulls = F.coalesce(F.col(f"n__{c}"), F.lit(0)).cast("long") if ok else F.lit(None).cast("long")
+        # an absent column counts as entirely missing
+        nulls = (F.coalesce(F.col(f"n__{c}"), F.lit(0)) if ok else F.col("_rows")).cast("long")
         bad = (F.coalesce(F.col("_occ_bad"), F.lit(0)) if (c == "occ" and "_occ_bad" in row.columns)
                else F.coalesce(F.col("_cap_bad"), F.lit(0)) if (c == "capacity" and "_cap_bad" in row.columns)
                else F.lit(0)).cast("long")
-        structs.append(F.struct(F.lit(c).alias("column"), F.lit(ok).alias("present"),
+        structs.append(F.struct(F.lit(c).alias("column_name"), F.lit(ok).alias("present"),
                                 F.col("_rows").cast("long").alias("n_rows"), nulls.alias("n_null"),
-                                (bad if ok else F.lit(None).cast("long")).alias("n_out_of_range")))
+                                bad.alias("n_out_of_range")))
     return row.select(F.explode(F.array(*structs)).alias("_r")).select("_r.*")
 
 

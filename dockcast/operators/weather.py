@@ -29,10 +29,9 @@ def expand_to_grid(hourly: DataFrame, cols=config.WEATHER_COLS, freq_min: int =
     Each filled hourly row expands to the grid points up to the next row,
     so gaps (missing hours) take the previous values, as reindex + ffill does.
     """
-    f = fill_hourly(hourly, cols)
-    nxt = F.lead("ts").over(Window.orderBy("ts"))
     step = F.expr(f"INTERVAL {freq_min} MINUTES")
-    end = F.coalesce(nxt - step, F.col("ts"))
+    f = fill_hourly(hourly, cols).withColumn("_next", F.lead("ts").over(Window.orderBy("ts")))
+    end = F.coalesce(F.col("_next") - step, F.col("ts"))
     return f.select(F.explode(F.sequence("ts", end, step)).alias("ts"), *cols)
 
 
@@ -54,10 +53,9 @@ def asof_hourly(frame: DataFrame, hourly: DataFrame, cols=config.WEATHER_COLS, t
     filled row of ``floor(ts, 1 h)`` (clamped to the last hour): an equi-join
     on a completed hourly grid replaces a range join.
     """
-    f = fill_hourly(hourly, cols)
-    nxt = F.lead("ts").over(Window.orderBy("ts"))
     hour = F.expr("INTERVAL 1 HOUR")
-    full = f.select(F.explode(F.sequence("ts", F.coalesce(nxt - hour, F.col("ts")), hour)).alias("_wh"), *cols)
+    f = fill_hourly(hourly, cols).withColumn("_next", F.lead("ts").over(Window.orderBy("ts")))
+    full = f.select(F.explode(F.sequence("ts", F.coalesce(F.col("_next") - hour, F.col("ts")), hour)).alias("_wh"), *cols)
     bounds = F.broadcast(hourly.agg(F.min("ts").alias("_w0"), F.max("ts").alias("_w1")))
     d = frame.crossJoin(bounds).withColumn(
         "_wh", F.when(F.col(ts) >= F.col("_w0"), F.least(floor_ts(ts, 3600), F.col("_w1"))))
