@@ -51,6 +51,13 @@ class Ctx:
         d = split.label_split(d, self.cut).drop("_cut_us")
         return d.withColumn("occ_now", F.col("occ"))
 
+    @cached_property
+    def labelled_stored(self) -> DataFrame:
+        """``labelled`` written once to the shared checkpoint folder (lineage cut);
+        used by the queries that read the frame many times (calibration, models)."""
+        from dockcast.operators.dims import materialise
+        return materialise(self.labelled)
+
     def train_test(self, frame: DataFrame) -> tuple[DataFrame, DataFrame]:
         return split.split_frames(frame, cut=self.cut)
 
