@@ -109,7 +109,7 @@ def utc_normalise(s: Column) -> Column:
     Naive text is taken as UTC; text with a zone suffix (Z, +02:00) names an
     instant, which is converted to its UTC wall clock.
     """
-    zoned = s.rlike(r"(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$")
+    zoned = s.rlike(r"[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$")
     return F.when(zoned, from_micros(F.unix_micros(F.to_timestamp(s)))).otherwise(F.to_timestamp_ntz(s))
 
 
