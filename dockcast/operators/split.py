@@ -10,10 +10,13 @@ from dockcast.functions.columns import from_micros, micros
 from dockcast.operators.quantile import exact_quantile
 
 
+TIME_BIN_US = 60_000_000.0      # one-minute buckets for time quantiles
+
+
 def temporal_cut(df: DataFrame, q: float = config.SPLIT_TRAINTEST, ts: str = "ts") -> DataFrame:
     """One row: ``n_rows``, ``cut_us`` (floor of the interpolated quantile of ts in µs)
     and ``cut_ts``.  Rows with ``ts <= cut`` are train, the rest test."""
-    qd = exact_quantile(df, micros(ts), q, out="_cut")
+    qd = exact_quantile(df, micros(ts), q, out="_cut", width=TIME_BIN_US)
     cut_us = F.floor("_cut")
     return qd.select(F.col("n").alias("n_rows"), cut_us.alias("cut_us"), from_micros(cut_us).alias("cut_ts"))
 

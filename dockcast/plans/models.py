@@ -26,14 +26,14 @@ def reconstruct_bikes(occ_now: Column, gamma: Column, delta: Column, capacity: C
 
 def validation_rows(clean: DataFrame, q: float = config.SPLIT_TRAINVAL, val: bool = True) -> DataFrame:
     """Last (1-q) of train time (``ts > quantile_q``), or the rest when ``val=False``."""
-    cut = exact_quantile(clean, micros("ts"), q, out="_vcut").select("_vcut")
+    cut = exact_quantile(clean, micros("ts"), q, out="_vcut", width=60_000_000.0).select("_vcut")
     d = clean.crossJoin(F.broadcast(cut))
     cond = micros("ts") > F.col("_vcut")
     return d.where(cond if val else ~cond).drop("_vcut")
 
 
 def with_validation_flag(clean: DataFrame, q: float = config.SPLIT_TRAINVAL, col: str = "is_val") -> DataFrame:
-    cut = exact_quantile(clean, micros("ts"), q, out="_vcut").select("_vcut")
+    cut = exact_quantile(clean, micros("ts"), q, out="_vcut", width=60_000_000.0).select("_vcut")
     return clean.crossJoin(F.broadcast(cut)).withColumn(col, micros("ts") > F.col("_vcut")).drop("_vcut")
 
 
