@@ -17,7 +17,9 @@ HOURLY_SCHEMA = T.StructType([T.StructField("hourly", T.StructType(
 def rows_from_documents(docs: DataFrame) -> DataFrame:
     """Zip the parallel arrays into rows; a variable missing from a document is null."""
     h = F.col("hourly")
-    zipped = F.arrays_zip(h["time"].alias("time"), *[h[c].alias(c) for c in config.WEATHER_COLS])
+    n = F.size(h["time"])
+    absent = F.array_repeat(F.lit(None).cast("double"), n)          # variable missing from the document
+    zipped = F.arrays_zip(h["time"].alias("time"), *[F.coalesce(h[c], absent).alias(c) for c in config.WEATHER_COLS])
     rows = docs.select(F.inline(zipped))
     return rows.select(utc_normalise(F.col("time")).alias("ts"), *config.WEATHER_COLS)
 

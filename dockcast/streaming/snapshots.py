@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast import config
+from dockcast.functions.columns import from_micros, micros
 from dockcast.sources.sinks import latest_per_station
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -39,14 +40,15 @@ def to_panel(snapshots: DataFrame, freq_min: int = config.FREQ_MIN, ts: str = "s
     emitted once the watermark passes its end, and later data for a closed
     tick is ignored (the late-data rule of this design).
     """
-    d = snapshots
+    # event time as an instant (watermarks need TIMESTAMP); UTC wall clock <-> epoch µs, zone-free
+    d = snapshots.withColumn("_et", F.timestamp_micros(micros(ts)))
     if watermark:
-        d = d.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["station_id", ts])
-    g = d.groupBy("station_id", F.window(ts, f"{freq_min} minutes").alias("w"))
+        d = d.withWatermark("_et", watermark).dropDuplicatesWithinWatermark(["station_id", "_et"])
+    g = d.groupBy("station_id", F.window("_et", f"{freq_min} minutes").alias("w"))
     agg = g.agg(F.max_by(F.struct(F.col(bikes).cast("float").alias("bikes_available"),
-                                  F.col("capacity").cast("float").alias("capacity")), F.col(ts)).alias("_r"),
+                                  F.col("capacity").cast("float").alias("capacity")), F.col("_et")).alias("_r"),
                 F.count(F.lit(1)).alias("n_snapshots"))
-    return agg.select("station_id", F.col("w.start").cast("timestamp_ntz").alias("ts"), "_r.bikes_available",
+    return agg.select("station_id", from_micros(F.unix_micros("w.start")).alias("ts"), "_r.bikes_available",
                       "_r.capacity", "n_snapshots")
 
 
