@@ -218,3 +218,16 @@ def bikes_features(c):
 def dropna_all(c):
     """Rows of the bike-space frame with no null in any column."""
     return features.build_bike_features(c.raw, c.seq).dropna()
+
+
+@register("panel_gaps", [("station_id", "s"), ("first_tick", "t"), ("last_tick", "t"), ("n_expected", "l"),
+                         ("n_present", "l"), ("n_missing", "l")],
+          with_(*BASE) + """SELECT {out} FROM (SELECT station_id, min(tick) AS first_tick, max(tick) AS last_tick,
+             (epoch_us(max(tick)) - epoch_us(min(tick))) // 300000000 + 1 AS n_expected, count(DISTINCT tick) AS n_present,
+             (epoch_us(max(tick)) - epoch_us(min(tick))) // 300000000 + 1 - count(DISTINCT tick) AS n_missing
+             FROM (SELECT station_id, make_timestamp(epoch_us(ts) - epoch_us(ts) % 300000000) AS tick FROM panel) t
+             GROUP BY station_id) x""")
+def panel_gaps(c):
+    """Per station: expected vs present 5-minute ticks (row lags mean minutes only without gaps)."""
+    from dockcast.operators.grid import gap_report
+    return gap_report(c.panel)
