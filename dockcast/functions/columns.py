@@ -12,7 +12,7 @@ from dockcast import config
 __all__ = [
     "EPOCH", "micros", "from_micros", "floor_ts", "clip01", "clip", "occupancy",
     "occupancy_serving", "hour_of", "weekday_of", "calendar_columns", "rain_flag",
-    "quantize", "utc_normalise", "gamma_for", "delta_to_bikes",
+    "quantize", "utc_normalise", "gamma_for", "delta_to_bikes", "utc_stamp",
 ]
 
 def EPOCH() -> Column:
@@ -122,3 +122,8 @@ def gamma_for(gammas: Column, horizon: Column) -> Column:
 def delta_to_bikes(delta: Column, capacity: Column, target_kind: Column | str = "delta_occ") -> Column:
     kind = F.lit(target_kind) if isinstance(target_kind, str) else target_kind
     return F.when(kind == "delta_occ", delta * capacity).otherwise(delta)
+
+
+def utc_stamp(ts: Column) -> Column:
+    """Compact UTC stamp used in snapshot file names, e.g. 20240101T000000Z."""
+    return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")
