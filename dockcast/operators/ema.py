@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -39,21 +40,52 @@ def ema_columns(occ: pd.Series) -> dict[str, pd.Series]:
     return {"occ_ema_fast": fast, "occ_ema_slow": slow, "occ_momentum": (fast - slow).astype("float32")}
 
 
+def _grouped_ema(pdf: pd.DataFrame, keys: list[str]) -> dict[str, np.ndarray]:
+    """EMA columns for a frame sorted by (keys, order); one vectorised call per alpha."""
+    grp = [pdf[k] for k in keys]
+    x = pdf["occ"].astype("float64").groupby(grp, sort=False).shift(1)
+    out = {}
+    for name, a in (("occ_ema_fast", config.EMA_FAST_ALPHA), ("occ_ema_slow", config.EMA_SLOW_ALPHA)):
+        e = x.groupby(grp, sort=False).ewm(alpha=a, adjust=False).mean()
+        e = e.reset_index(level=list(range(len(keys))), drop=True).reindex(pdf.index)
+        out[name] = e.to_numpy().astype("float32")
+    out["occ_momentum"] = (out["occ_ema_fast"] - out["occ_ema_slow"]).astype("float32")
+    return out
+
+
 def add_ema_grouped(df: DataFrame, seq, w=None) -> DataFrame:
-    """Add EMA columns; groups are the window partitions of ``df``.
+    """Add EMA columns to the output of a window over ``seq``'s partitions.
 
-    Called inside ``Sequencer.windowed`` so the grouping reuses the window's
-    partitioning (no extra shuffle).
+    The window leaves each partition sorted by (group, order), so a group's
+    rows are contiguous: ``mapInPandas`` runs one grouped ``ewm`` per Arrow
+    batch — no extra shuffle, no per-group Python call.  A group cut by a
+    batch boundary continues from the previous batch's last ``ema_lookback()``
+    rows (the same bounded start as the blocked plan).
     """
     groups = seq.group_cols(df)
     order = seq.sort_cols(df)
+    lookback = ema_lookback()
+    names = [f.name for f in df.schema.fields]
     schema = T.StructType(df.schema.fields + [
         T.StructField(c, T.FloatType(), True) for c in ("occ_ema_fast", "occ_ema_slow", "occ_momentum")])
 
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-        for k, v in ema_columns(pdf["occ"]).items():
-            pdf[k] = v.to_numpy()
-        return pdf
-
-    return df.groupBy(*groups).applyInPandas(per_group, schema)
+    def per_partition(batches):
+        tail = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            first = tuple(pdf.loc[0, groups])
+            pre = 0
+            if tail is not None and tuple(tail.iloc[-1][groups]) == first:
+                pre = len(tail)
+                pdf = pd.concat([tail, pdf], ignore_index=True)
+            for k, v in _grouped_ema(pdf, groups).items():
+                pdf[k] = v
+            last = tuple(pdf.iloc[-1][groups])
+            same = (pdf[groups] == pd.Series(last, index=groups)).all(axis=1)
+            tail = pdf.loc[same, names].tail(lookback).reset_index(drop=True)
+            yield pdf.iloc[pre:]
+
+    # order inside partitions is the window's sort; keep it explicit for safety
+    return df.sortWithinPartitions(*groups, *order).mapInPandas(per_partition, schema)

@@ -42,7 +42,10 @@ class Ctx:
 
     @cached_property
     def cut(self) -> DataFrame:
-        return split.temporal_cut(self.panel, config.SPLIT_TRAINTEST)
+        """The one-row cut, stored once so every branch of a plan reads it
+        instead of re-running the two-pass quantile."""
+        from dockcast.operators.dims import materialise
+        return materialise(split.temporal_cut(self.panel, config.SPLIT_TRAINTEST))
 
     @cached_property
     def labelled(self) -> DataFrame:
