@@ -41,6 +41,7 @@ from dockcast.functions.columns import micros
 _G = "_g"
 _HALO = "_halo"
 BLK = "_blk"
+CHUNK = "_chunk"
 HOME = "_home"
 
 
@@ -97,7 +98,9 @@ class Sequencer:
         in-chunk row number (the same partitioning serves both).
         """
         k = self.keys
-        d = df.withColumn("_chunk", self._chunk())
+        # reuse the chunk column of a preceding blocked fill: the rows are then
+        # already partitioned by (station, chunk) and no new exchange is needed
+        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk())
         counts = d.groupBy(*k, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
         wc = Window.partitionBy(*k).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.select(*k, "_chunk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_start"))
@@ -106,9 +109,7 @@ class Sequencer:
         return d.withColumn(_G, F.col("_start") + F.row_number().over(wr) - 1).drop("_chunk", "_start")
 
     def _halo(self, df: DataFrame, back: int, ahead: int) -> DataFrame:
-        B = self.block_rows
-        if back > B or ahead > B:
-            raise ValueError(f"block_rows={B} must cover look-back {back} and look-ahead {ahead}")
+        B = max(self.block_rows, back, ahead)     # a block must cover the look-back / look-ahead
         g = F.col(_G)
         blk = F.floor(g / B)
         pos = g - blk * B
@@ -136,7 +137,7 @@ class Sequencer:
         d = self._halo(d, back, ahead)
         w = Window.partitionBy(*self.keys, BLK).orderBy(_G)
         out = build(d, w)
-        return out.where(F.col(HOME)).drop(BLK, HOME, _G)
+        return out.where(F.col(HOME)).drop(BLK, HOME, _G, CHUNK)
 
     # ---------------------------------------------------------------- fills
     def fill(self, df: DataFrame, col: str, forward: bool = True, backward: bool = True,
@@ -158,7 +159,7 @@ class Sequencer:
             if backward:
                 expr = F.coalesce(expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
             return df.withColumn(out, expr)
-        d = df.withColumn("_chunk", self._chunk())
+        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk())
         ordkey = F.struct(*[F.col(o) for o in self.order])
         known = F.when(c.isNotNull(), ordkey)
         summ = d.groupBy(*k, "_chunk").agg(F.max_by(c, known).alias("_last"), F.min_by(c, known).alias("_first"))
@@ -174,4 +175,5 @@ class Sequencer:
             expr = F.coalesce(expr, F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_cin"))
         if backward:
             expr = F.coalesce(expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("_cout"))
-        return d.withColumn(out, expr).drop("_chunk", "_cin", "_cout")
+        # ``_chunk`` stays: a following ``index`` reuses it (``windowed`` drops it)
+        return d.withColumn(out, expr).drop("_cin", "_cout")

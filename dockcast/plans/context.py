@@ -22,7 +22,9 @@ class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
         strategy = spark.conf.get(STRATEGY_CONF, "auto")
-        self.seq = Sequencer(order=fx.PANEL_ORDER, strategy=strategy)
+        block = int(spark.conf.get(STRATEGY_CONF + ".blockRows", "4096"))
+        chunk = int(spark.conf.get(STRATEGY_CONF + ".chunkSeconds", "86400"))
+        self.seq = Sequencer(order=fx.PANEL_ORDER, strategy=strategy, block_rows=block, chunk_seconds=chunk)
 
     @cached_property
     def raw(self) -> DataFrame:

@@ -90,8 +90,10 @@ def mae_bikes_of_delta(model, frame: DataFrame, feat_cols, h: int, gamma: float
 def train_delta_gamma(train_clean: DataFrame, test_clean: DataFrame, feat_cols, h: int,
                       max_iter: int = config.GBT_MAX_ROUNDS) -> dict:
     """Fit, calibrate gamma on validation, score test: the per-horizon training step."""
-    model = fit_delta(train_clean, feat_cols, h, max_iter)
-    val = validation_rows(train_clean)
+    flagged = with_validation_flag(train_clean)            # one validation cut for fit and calibration
+    d = flagged.withColumn("label", F.col(f"occ_delta_target_{h}").cast("double"))
+    model = gbt("absolute", max_iter).fit(assemble(d, feat_cols))
+    val = flagged.where("is_val")
     scored = model.transform(assemble(val, feat_cols)).select(
         F.lit(h).alias("horizon_min"), "occ_now", F.col("prediction").alias("delta"), "capacity",
         F.col(f"occ_{h}").alias("y_occ"))

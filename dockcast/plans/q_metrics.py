@@ -67,7 +67,7 @@ SEASONAL_SQL = "seasonal AS (" + _per_horizon(
           with_(STATION_TS, _TGT, _RCUT, _MED) + "SELECT {out} FROM med")
 def seasonal_median(c):
     """Train median of bikes per (station, dow, hour) on the raw panel."""
-    train, _ = c.train_test(c.raw) if False else _raw_split(c)
+    train, _ = _raw_split(c)
     return baselines.seasonal_median(train)
 
 

@@ -86,7 +86,9 @@ def score_requests_in(spark: SparkSession, sf_dir: str, seq: Sequencer | None =
     Runs on the bounded ``Sequencer`` windows (13 rows back, 1 ahead), so a
     station with a huge history is still split into bounded tasks.
     """
-    seq = seq or Sequencer(key="user_id", order=PANEL_ORDER)
+    seq = seq or Sequencer(key="user_id", order=PANEL_ORDER,
+                           strategy=spark.conf.get("dockcast.sequence.strategy", "auto"),
+                           block_rows=int(spark.conf.get("dockcast.sequence.strategy.blockRows", "4096")))
     e = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     e = e.withColumn("bikes", F.when(F.col("event_id") % 37 == 0, F.lit(None)).otherwise(F.col("value")))
 

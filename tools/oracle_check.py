@@ -35,6 +35,14 @@ def main() -> int:
     from dockcast.plans.registry import oracle_sql, queries
     from dockcast.session import get_spark
     spark = get_spark("local[8]", 8)
+    # DOCKCAST_STRATEGY=blocked:16 checks the skew-safe plan with tiny blocks
+    strat = os.environ.get("DOCKCAST_STRATEGY")
+    if strat:
+        name_, _, rows_ = strat.partition(":")
+        spark.conf.set("dockcast.sequence.strategy", name_)
+        if rows_:
+            spark.conf.set("dockcast.sequence.strategy.blockRows", rows_)
+        spark.conf.set("dockcast.sequence.strategy.chunkSeconds", os.environ.get("DOCKCAST_CHUNK", "86400"))
     qs, sqls = queries(), oracle_sql()
     con = duckdb.connect()
     for t in TABLES:
