@@ -140,40 +140,47 @@ class Sequencer:
         return out.where(F.col(HOME)).drop(BLK, HOME, _G, CHUNK)
 
     # ---------------------------------------------------------------- fills
-    def fill(self, df: DataFrame, col: str, forward: bool = True, backward: bool = True,
+    def fill(self, df: DataFrame, col, forward: bool = True, backward: bool = True,
              out: str | None = None, strategy: str | None = None) -> DataFrame:
-        """Forward fill then back fill of ``col`` within the station.
+        """Forward fill then back fill of one column (or a list) within the station.
 
         ``blocked`` carries the last/first known value of each time chunk
-        through a prefix over the (small) chunk table.
+        through a prefix over the (small) chunk table — one chunk table and
+        one join for all columns.
         """
-        out = out or col
+        cols = [col] if isinstance(col, str) else list(col)
+        outs = {c: (out if (out and len(cols) == 1) else c) for c in cols}
         s = strategy or self.resolve(df)
         k = self.keys
-        c = F.col(col)
-        if s == "key":
-            w = self.key_window()
-            expr = c
+
+        def filled(c, w, cin=None, cout=None):
+            expr = F.col(c)
             if forward:
-                expr = F.coalesce(expr, F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                parts = [expr, F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))]
+                expr = F.coalesce(*(parts + ([F.col(cin)] if cin else [])))
             if backward:
-                expr = F.coalesce(expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-            return df.withColumn(out, expr)
+                parts = [expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))]
+                expr = F.coalesce(*(parts + ([F.col(cout)] if cout else [])))
+            return expr
+
+        if s == "key":
+            w = self.key_window()
+            return df.withColumns({outs[c]: filled(c, w) for c in cols})
         d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk())
         ordkey = F.struct(*[F.col(o) for o in self.order])
-        known = F.when(c.isNotNull(), ordkey)
-        summ = d.groupBy(*k, "_chunk").agg(F.max_by(c, known).alias("_last"), F.min_by(c, known).alias("_first"))
-        wc = Window.partitionBy(*k).orderBy("_chunk")
-        carry = summ.select(
-            *k, "_chunk",
-            F.last("_last", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias("_cin"),
-            F.first("_first", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias("_cout"))
-        d = d.join(carry, on=k + ["_chunk"], how="inner")
-        w = Window.partitionBy(*k, "_chunk").orderBy(*self._order_cols())
-        expr = c
-        if forward:
-            expr = F.coalesce(expr, F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_cin"))
-        if backward:
-            expr = F.coalesce(expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("_cout"))
+        aggs = []
+        for i, c in enumerate(cols):
+            known = F.when(F.col(c).isNotNull(), ordkey)
+            aggs += [F.max_by(F.col(c), known).alias(f"_last{i}"), F.min_by(F.col(c), known).alias(f"_first{i}")]
+        summ = d.groupBy(*k, CHUNK).agg(*aggs)
+        wc = Window.partitionBy(*k).orderBy(CHUNK)
+        carries = []
+        for i in range(len(cols)):
+            carries += [F.last(f"_last{i}", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_cin{i}"),
+                        F.first(f"_first{i}", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias(f"_cout{i}")]
+        carry = summ.select(*k, CHUNK, *carries)
+        d = d.join(carry, on=k + [CHUNK], how="inner")
+        w = Window.partitionBy(*k, CHUNK).orderBy(*self._order_cols())
+        d = d.withColumns({outs[c]: filled(c, w, f"_cin{i}", f"_cout{i}") for i, c in enumerate(cols)})
         # ``_chunk`` stays: a following ``index`` reuses it (``windowed`` drops it)
-        return d.withColumn(out, expr).drop("_cin", "_cout")
+        return d.drop(*[f"_cin{i}" for i in range(len(cols))], *[f"_cout{i}" for i in range(len(cols))])

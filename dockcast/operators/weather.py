@@ -41,8 +41,7 @@ def add_weather(frame: DataFrame, grid: DataFrame, seq: Sequencer, on: str = "ts
     at the edges, then ``is_rain``."""
     g = grid.select(F.col("ts").alias(on), *cols) if on != "ts" else grid
     out = sized_join(frame, g, on, "left")
-    for c in cols:
-        out = seq.fill(out, c)
+    out = seq.fill(out, list(cols))
     return out.withColumn("is_rain", rain_flag(F.col("precipitation")))
 
 

@@ -76,3 +76,20 @@ def test_late_snapshots_stream_equals_batch(spark, tmpdir_path):
     closed = {k: v for k, v in batch.items() if k[1] < base + dt.timedelta(minutes=30)}   # ticks closed by the watermark
     assert streamed == closed                      # late but inside the watermark: counted by event time
     assert streamed[("1", base)] == 2.0 and streamed[("1", base + dt.timedelta(minutes=5))] == 6.0
+
+
+def test_ingest_and_latest_streams(spark, tmpdir_path):
+    base = dt.datetime(2024, 1, 1)
+    land = f"{tmpdir_path}/land"
+    schema = snapshots.SNAPSHOT_SCHEMA
+    for i in range(3):
+        rows = [(s, None, None, None, 20.0, 1, 1, 1, None, 10 * i + int(s), None, base + dt.timedelta(minutes=i))
+                for s in ("1", "2")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{land}/p{i}")
+    q1 = snapshots.start_ingest(spark, f"{land}/*", f"{tmpdir_path}/table", f"{tmpdir_path}/ck1", available_now=True)
+    q1.awaitTermination(120)
+    assert spark.read.parquet(f"{tmpdir_path}/table").count() == 6
+    q2 = snapshots.start_latest(spark, f"{land}/*", f"{tmpdir_path}/latest", f"{tmpdir_path}/ck2", available_now=True)
+    q2.awaitTermination(120)
+    latest = {r.station_id: r.num_bikes_available for r in spark.read.parquet(f"{tmpdir_path}/latest").collect()}
+    assert latest == {"1": 21, "2": 22}
