@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +13,19 @@ from dockcast.session import ensure_checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def materialise(dim: DataFrame) -> DataFrame:
-    """Write a small derived table to the shared checkpoint folder.
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Cuts its lineage (a lost executor re-reads it instead of recomputing the
-    aggregate) and makes the following size check cheap.
+    One job (``Dataset.checkpoint`` would compute the plan twice and store
+    Java-serialised rows); the result has a fresh lineage, so a lost executor
+    re-reads files instead of recomputing the plan, and counts come from
+    Parquet metadata.
     """
-    ensure_checkpoint_dir(dim.sparkSession)
-    return dim.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/dockcast-tables/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def sized_join(big: DataFrame, dim: DataFrame, on, how: str = "left",

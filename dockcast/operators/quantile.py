@@ -25,38 +25,36 @@ def exact_quantile(df: DataFrame, value: Column, q: float, bins: int = 1 << 20,
     """One-row DataFrame ``(n, <out>)`` with the exact q-quantile of ``value``.
 
     With ``width`` the buckets have that fixed width (``floor(v / width)``):
-    no min/max pass is needed, so the input is read twice instead of three
-    times; the histogram then has (range / width) rows.
+    no min/max pass is needed, so the input is read twice (histogram,
+    candidates); otherwise a first pass finds min and max.
     """
     d = df.select(value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    whole = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     if width is None:
-        stats = d.agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        mm = d.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         span = F.col("_hi") - F.col("_lo")
         bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-        binned = d.crossJoin(F.broadcast(stats)).select("_v", bucket.alias("_b"))   # one-row side
-        hist = binned.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-        stats = stats.select("_n")
+        binned = d.crossJoin(F.broadcast(mm)).select("_v", bucket.alias("_b"))      # one-row side
     else:
         binned = d.select("_v", F.floor(F.col("_v") / float(width)).alias("_b"))
-        hist = binned.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
-        stats = hist.agg(F.sum("_c").alias("_n"))
-    stats = stats.select("*", (F.lit(float(q)) * (F.col("_n") - 1).cast("double")).alias("_p"))
-    stats = stats.select("*", F.floor("_p").alias("_rlo"), F.ceil("_p").alias("_rhi"))
-    s1 = F.broadcast(stats)                                    # one row
-    before = F.coalesce(F.sum("_c").over(whole), F.lit(0))
-    hist = hist.select("_b", "_c", before.alias("_before"))   # histogram rows only, in one partition
-    hit = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_c"))
-    targets = hist.crossJoin(s1).where(hit("_rlo") | hit("_rhi")).select("_b", "_before")
-    cand = binned.join(F.broadcast(targets), "_b")            # ≤ 2 buckets
-    vals = cand.groupBy("_b", "_before", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    hist = binned.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))                 # partial aggregation
+    # one single-partition pass over the histogram rows: total, rank position, rows before each bucket
+    allw = Window.partitionBy()
+    h = hist.select("_b", "_c",
+                    F.coalesce(F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                    F.sum("_c").over(allw).alias("_n"))
+    h = h.withColumn("_p", F.lit(float(q)) * (F.col("_n") - 1).cast("double"))
+    h = h.withColumns({"_rlo": F.floor("_p"), "_rhi": F.ceil("_p")})
+    hit = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_c"))
+    targets = h.where(hit("_rlo") | hit("_rhi")).select("_b", "_before", "_n", "_p", "_rlo", "_rhi")   # ≤ 2 rows
+    cand = binned.join(F.broadcast(targets), "_b")                                   # ≤ 2 buckets
+    vals = cand.groupBy("_b", "_before", "_n", "_p", "_rlo", "_rhi", "_v").agg(F.count(F.lit(1)).alias("_c"))
     start = F.col("_before") + F.coalesce(
         F.sum("_c").over(Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = vals.select("_v", "_c", start.alias("_s")).crossJoin(s1)
-    at = lambda r: (F.col(r) >= F.col("_s")) & (F.col(r) < F.col("_s") + F.col("_c"))
+    ranked = vals.select("*", start.alias("_s"))
+    at = lambda r: (F.col(r) >= F.col("_s")) & (F.col(r) < F.col("_s") + F.col("_c"))
     picked = ranked.agg(
         F.first("_n").alias("_n"), F.first("_p").alias("_p"), F.first("_rlo").alias("_rlo"),
         F.max(F.when(at("_rlo"), F.col("_v"))).alias("_vlo"),
         F.max(F.when(at("_rhi"), F.col("_v"))).alias("_vhi"))
     res = F.col("_vlo") + (F.col("_p") - F.col("_rlo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
-    return picked.select(F.col("_n").alias("n"), res.alias(out))
+    return picked.select(F.coalesce(F.col("_n"), F.lit(0)).alias("n"), res.alias(out))
