@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast import config
+from dockcast.functions.columns import from_micros
 
 INFO_STATION = T.StructType([
     T.StructField("station_id", T.StringType()), T.StructField("name", T.StringType()),
@@ -69,7 +70,8 @@ def keep_existing(df: DataFrame, keep=config.GBFS_KEEP) -> DataFrame:
 
 def stamp(df: DataFrame, at: Column | None = None) -> DataFrame:
     """Capture time of the snapshot (UTC wall clock)."""
-    return df.withColumn("snapshot_ts", (at if at is not None else F.current_timestamp()).cast("timestamp_ntz"))
+    now = at if at is not None else from_micros(F.unix_micros(F.current_timestamp()))   # UTC, zone-free
+    return df.withColumn("snapshot_ts", now)
 
 
 def snapshot(status: DataFrame, info: DataFrame, at: Column | None = None) -> DataFrame:

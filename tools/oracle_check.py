@@ -35,6 +35,8 @@ def main() -> int:
     from dockcast.plans.registry import oracle_sql, queries
     from dockcast.session import get_spark
     spark = get_spark("local[8]", 8)
+    if os.environ.get("DOCKCAST_TZ"):                 # results must not depend on the session zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["DOCKCAST_TZ"])
     # DOCKCAST_STRATEGY=blocked:16 checks the skew-safe plan with tiny blocks
     strat = os.environ.get("DOCKCAST_STRATEGY")
     if strat:
