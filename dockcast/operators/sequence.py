@@ -45,6 +45,14 @@ CHUNK = "_chunk"
 HOME = "_home"
 
 
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the whole input (file sizes, projection-scaled); None if unknown."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. a Connect session: fall back to counting
+        return None
+
+
 @dataclass
 class Sequencer:
     key: str | Sequence[str] = "station_id"
@@ -53,6 +61,7 @@ class Sequencer:
     chunk_seconds: int = 86_400         # time chunk used to number rows (≈288 ticks/day on the 5-min grid)
     block_rows: int = 4_096             # rows per block of the blocked plan
     max_key_rows: int = 2_000_000       # above this a station is too big for one task
+    max_key_bytes: int = 512 << 20      # an input this small fits one task whole: no count needed
     _resolved: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------ utils
@@ -78,8 +87,12 @@ class Sequencer:
         if self.strategy != "auto":
             return self.strategy
         if "s" not in self._resolved:
-            top = (df.groupBy(*self.keys).count().agg(F.max("count").alias("m")).collect()[0]["m"]) or 0
-            self._resolved["s"] = "key" if top <= self.max_key_rows else "blocked"
+            est = _estimated_bytes(df)
+            if est is not None and est <= self.max_key_bytes:
+                self._resolved["s"] = "key"          # all stations together fit a task
+            else:
+                top = (df.groupBy(*self.keys).count().agg(F.max("count").alias("m")).collect()[0]["m"]) or 0
+                self._resolved["s"] = "key" if top <= self.max_key_rows else "blocked"
         return self._resolved["s"]
 
     def with_strategy(self, strategy: str) -> "Sequencer":
