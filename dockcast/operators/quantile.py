@@ -21,40 +21,42 @@ from pyspark.sql import functions as F
 
 
 def exact_quantile(df: DataFrame, value: Column, q: float, bins: int = 1 << 20, out: str = "q",
-                   width: float | None = None) -> DataFrame:
-    """One-row DataFrame ``(n, <out>)`` with the exact q-quantile of ``value``.
+                   width: float | None = None, by: list[str] | tuple = ()) -> DataFrame:
+    """Exact q-quantile of ``value``: one row ``(n, <out>)``, or one row per ``by`` group.
 
     With ``width`` the buckets have that fixed width (``floor(v / width)``):
     no min/max pass is needed, so the input is read twice (histogram,
-    candidates); otherwise a first pass finds min and max.
+    candidates); otherwise a first pass finds min and max.  Groups share the
+    passes; the broadcast target table has at most 2 rows per group.
     """
-    d = df.select(value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    by = list(by)
+    d = df.select(*by, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
     if width is None:
-        mm = d.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        mm = d.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         span = F.col("_hi") - F.col("_lo")
         bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-        binned = d.crossJoin(F.broadcast(mm)).select("_v", bucket.alias("_b"))      # one-row side
+        base = d.crossJoin(F.broadcast(mm)) if not by else d.join(F.broadcast(mm), by)   # one row per group
+        binned = base.select(*by, "_v", bucket.alias("_b"))
     else:
-        binned = d.select("_v", F.floor(F.col("_v") / float(width)).alias("_b"))
-    hist = binned.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))                 # partial aggregation
-    # one single-partition pass over the histogram rows: total, rank position, rows before each bucket
-    allw = Window.partitionBy()
-    h = hist.select("_b", "_c",
-                    F.coalesce(F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-                    F.sum("_c").over(allw).alias("_n"))
+        binned = d.select(*by, "_v", F.floor(F.col("_v") / float(width)).alias("_b"))
+    hist = binned.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))            # partial aggregation
+    # one pass over the histogram rows (one partition per group): total, rank position, rows before each bucket
+    wg = Window.partitionBy(*by)
+    h = hist.select(*by, "_b", "_c",
+                    F.coalesce(F.sum("_c").over(wg.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                    F.sum("_c").over(wg).alias("_n"))
     h = h.withColumn("_p", F.lit(float(q)) * (F.col("_n") - 1).cast("double"))
     h = h.withColumns({"_rlo": F.floor("_p"), "_rhi": F.ceil("_p")})
     hit = lambda r: (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_c"))
-    targets = h.where(hit("_rlo") | hit("_rhi")).select("_b", "_before", "_n", "_p", "_rlo", "_rhi")   # ≤ 2 rows
-    cand = binned.join(F.broadcast(targets), "_b")                                   # ≤ 2 buckets
-    vals = cand.groupBy("_b", "_before", "_n", "_p", "_rlo", "_rhi", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    targets = h.where(hit("_rlo") | hit("_rhi")).select(*by, "_b", "_before", "_n", "_p", "_rlo", "_rhi")  # ≤ 2 per group
+    cand = binned.join(F.broadcast(targets), by + ["_b"])                            # ≤ 2 buckets per group
+    vals = cand.groupBy(*by, "_b", "_before", "_n", "_p", "_rlo", "_rhi", "_v").agg(F.count(F.lit(1)).alias("_c"))
     start = F.col("_before") + F.coalesce(
-        F.sum("_c").over(Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        F.sum("_c").over(Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = vals.select("*", start.alias("_s"))
     at = lambda r: (F.col(r) >= F.col("_s")) & (F.col(r) < F.col("_s") + F.col("_c"))
-    picked = ranked.agg(
-        F.first("_n").alias("_n"), F.first("_p").alias("_p"), F.first("_rlo").alias("_rlo"),
-        F.max(F.when(at("_rlo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(at("_rhi"), F.col("_v"))).alias("_vhi"))
+    aggs = [F.first("_n").alias("_n"), F.first("_p").alias("_p"), F.first("_rlo").alias("_rlo"),
+            F.max(F.when(at("_rlo"), F.col("_v"))).alias("_vlo"), F.max(F.when(at("_rhi"), F.col("_v"))).alias("_vhi")]
+    picked = ranked.groupBy(*by).agg(*aggs) if by else ranked.agg(*aggs)
     res = F.col("_vlo") + (F.col("_p") - F.col("_rlo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
-    return picked.select(F.coalesce(F.col("_n"), F.lit(0)).alias("n"), res.alias(out))
+    return picked.select(*by, F.coalesce(F.col("_n"), F.lit(0)).alias("n"), res.alias(out))

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from dockcast import config
 from dockcast.functions.columns import from_micros, micros
+from dockcast.operators.dims import materialise
 from dockcast.sources.sinks import latest_per_station
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -74,7 +75,8 @@ def start_latest(spark: SparkSession, landing: str, out: str, checkpoint: str, f
             fresh = latest_per_station(old.unionByName(fresh))
         except Exception:  # first batch: no table yet
             pass
-        fresh.checkpoint(eager=True).write.mode("overwrite").parquet(out)
+        # store first: the result must not read the table it is about to overwrite
+        materialise(fresh).write.mode("overwrite").parquet(out)
 
     s = read_snapshot_stream(spark, landing, fmt)
     w = s.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -67,3 +67,11 @@ def test_asof_hourly(spark):
                                  (base + dt.timedelta(hours=5),)], "ts timestamp_ntz")
     got = [r["temperature_2m"] for r in weather.asof_hourly(pts, hourly).orderBy("ts").collect()]
     assert got == [None, 1.0, 3.0]
+
+
+def test_grouped_exact_quantile(spark):
+    rows = [("a", float(x)) for x in range(11)] + [("b", float(x)) for x in (5, 1, 9, 9)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.q for r in exact_quantile(df, F.col("v"), 0.85, by=["g"], width=2.0).collect()}
+    assert abs(got["a"] - np.quantile(np.arange(11.0), 0.85)) < 1e-9
+    assert abs(got["b"] - np.quantile([5.0, 1.0, 9.0, 9.0], 0.85)) < 1e-9
