@@ -7,6 +7,8 @@ so the whole catalog runs in minutes; the library default is the original
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from dockcast import config
@@ -30,11 +32,16 @@ def _split_clean(c, h):
 @register("gbt_delta", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l"), ("best_iter", "i"), ("gamma", "q")])
 def gbt_delta(c):
     """Δ-occupancy GBT (L1) per horizon, early-stopped, gamma-calibrated, scored on test."""
-    rows = []
-    for h in H:
-        tr, te = _split_clean(c, h)
-        r = models.train_delta_gamma(tr, te, MODEL_FEATURES, h, MAX_ITER)
-        rows.append((h, float(r["mae_model"] or 0.0), int(r["n_test"]), r["best_iter"], r["gamma"]))
+    frame = c.labelled_stored
+
+    def one(h):
+        tr = frame.where("is_train").dropna(subset=_clean_cols(h))
+        te = frame.where(~F.col("is_train")).dropna(subset=_clean_cols(h))
+        return models.train_delta_gamma(tr, te, MODEL_FEATURES, h, MAX_ITER)
+
+    with ThreadPoolExecutor(max_workers=len(H)) as pool:               # independent fits, concurrent jobs
+        res = list(pool.map(one, H))
+    rows = [(h, float(r["mae_model"] or 0.0), int(r["n_test"]), r["best_iter"], r["gamma"]) for h, r in zip(H, res)]
     return c.spark.createDataFrame(rows, "horizon_min int, mae_model double, n_test long, best_iter int, gamma double")
 
 
