@@ -62,6 +62,7 @@ class Sequencer:
     block_rows: int = 4_096             # rows per block of the blocked plan
     max_key_rows: int = 2_000_000       # above this a station is too big for one task
     max_key_bytes: int = 512 << 20      # an input this small fits one task whole: no count needed
+    max_chunk_rows: int = 1_000_000     # rows per (station, chunk) numbered in one task (blocked plan)
     _resolved: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------ utils
@@ -95,12 +96,33 @@ class Sequencer:
                 self._resolved["s"] = "key" if top <= self.max_key_rows else "blocked"
         return self._resolved["s"]
 
+    def chunk_width(self, df: DataFrame | None = None) -> int:
+        """Seconds per time chunk of the blocked plan.
+
+        Starts at ``chunk_seconds`` and, when ``df`` is given, narrows it (÷24,
+        down to one second) until no (station, chunk) holds more than
+        ``max_chunk_rows`` rows — a size check on per-chunk counts only, so
+        dense data never puts an unbounded chunk into one task.
+        """
+        if "w" not in self._resolved:
+            w = self.chunk_seconds
+            if df is not None:
+                while w > 1:
+                    c = F.floor(micros(self.order[0]) / F.lit(w * 1_000_000))
+                    top = (df.groupBy(*self.keys, c.alias("_c")).count()
+                             .agg(F.max("count").alias("m")).collect()[0]["m"]) or 0
+                    if top <= self.max_chunk_rows:
+                        break
+                    w = max(1, w // 24)
+            self._resolved["w"] = w
+        return self._resolved["w"]
+
     def with_strategy(self, strategy: str) -> "Sequencer":
         return Sequencer(self.key, tuple(self.order), strategy, self.chunk_seconds,
-                         self.block_rows, self.max_key_rows)
+                         self.block_rows, self.max_key_rows, self.max_key_bytes, self.max_chunk_rows)
 
-    def _chunk(self) -> Column:
-        return F.floor(micros(self.order[0]) / F.lit(self.chunk_seconds * 1_000_000))
+    def _chunk(self, df: DataFrame | None = None) -> Column:
+        return F.floor(micros(self.order[0]) / F.lit(self.chunk_width(df) * 1_000_000))
 
     # ----------------------------------------------------------- row numbers
     def index(self, df: DataFrame) -> DataFrame:
@@ -113,7 +135,7 @@ class Sequencer:
         k = self.keys
         # reuse the chunk column of a preceding blocked fill: the rows are then
         # already partitioned by (station, chunk) and no new exchange is needed
-        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk())
+        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk(df))
         counts = d.groupBy(*k, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
         wc = Window.partitionBy(*k).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
         starts = counts.select(*k, "_chunk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_start"))
@@ -179,7 +201,7 @@ class Sequencer:
         if s == "key":
             w = self.key_window()
             return df.withColumns({outs[c]: filled(c, w) for c in cols})
-        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk())
+        d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk(df))
         ordkey = F.struct(*[F.col(o) for o in self.order])
         aggs = []
         for i, c in enumerate(cols):

@@ -22,3 +22,16 @@ def test_hot_station_blocks_are_bounded(spark):
     b = blk.orderBy("station_id", "ts").toPandas()
     for c in ("occ_lag_60", "occ_roll_180", "occ_delta_60", "occ_60"):
         assert close(a[c], b[c]), c
+
+
+def test_dense_chunks_narrow_the_chunk_width(spark):
+    rows = [("dense", i // 10, i % 13, 20) for i in range(600)] + [("other", 5 * i, i % 7, 10) for i in range(30)]
+    df = make_panel(spark, rows)                     # ~10 readings per minute on one station
+    seq = Sequencer(order=("ts", "event_id"), strategy="blocked", block_rows=64, max_chunk_rows=50)
+    clean = panel.clean_panel(df, seq)
+    assert seq.chunk_width() < 86_400
+    blk = features.build_features(clean, seq).orderBy("station_id", "ts", "event_id").toPandas()
+    key_seq = Sequencer(order=("ts", "event_id"), strategy="key")
+    key = features.build_features(panel.clean_panel(df, key_seq), key_seq).orderBy("station_id", "ts", "event_id").toPandas()
+    for c in ("occ_lag_60", "occ_roll_180", "occ_60", "capacity"):
+        assert close(key[c], blk[c]), c
