@@ -80,6 +80,23 @@ def snapshot(status: DataFrame, info: DataFrame, at: Column | None = None) -> Da
 
 
 def read_snapshot(spark: SparkSession, info_path: str, status_path: str) -> DataFrame:
+    """One poll: the information and status documents at these paths."""
     info = read_stations(spark, info_path, INFO_STATION).drop("_doc", "last_updated")
     status = read_stations(spark, status_path, STATUS_STATION).drop("_doc", "last_updated")
     return snapshot(status, info)
+
+
+STAMP = r"([0-9]{8}T[0-9]{6}Z)"
+
+
+def read_polls(spark: SparkSession, info_glob: str, status_glob: str) -> DataFrame:
+    """Many polls at once: documents are paired by the UTC stamp in their file
+    names (``..._20240101T000000Z.json``), so stations join within a poll only
+    (no fan-out across polls); the stamp becomes ``snapshot_ts``."""
+    def stamped(path, schema):
+        d = read_stations(spark, path, schema)
+        return d.withColumn("_poll", F.regexp_extract("_doc", STAMP, 1)).drop("_doc", "last_updated")
+    info, status = stamped(info_glob, INFO_STATION), stamped(status_glob, STATUS_STATION)
+    merged = merge(harmonise(status), info, on=("_poll", "station_id"))
+    merged = merged.withColumn("snapshot_ts", F.to_timestamp_ntz("_poll", F.lit("yyyyMMdd'T'HHmmss'Z'")))
+    return merged.select(*[c for c in config.GBFS_KEEP if c in merged.columns], "snapshot_ts")

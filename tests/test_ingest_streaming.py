@@ -93,3 +93,14 @@ def test_ingest_and_latest_streams(spark, tmpdir_path):
     q2.awaitTermination(120)
     latest = {r.station_id: r.num_bikes_available for r in spark.read.parquet(f"{tmpdir_path}/latest").collect()}
     assert latest == {"1": 21, "2": 22}
+
+
+def test_gbfs_polls_pair_by_stamp(spark, tmpdir_path):
+    for stamp, bikes in (("20240101T000000Z", 1), ("20240101T000100Z", 2)):
+        _write(f"{tmpdir_path}/info/info_{stamp}.json",
+               {"data": {"stations": [{"station_id": "7", "name": "x", "lat": 1.0, "lon": 2.0, "capacity": 10}]}})
+        _write(f"{tmpdir_path}/status/status_{stamp}.json",
+               {"data": {"stations": [{"station_id": "7", "num_bikes_available": bikes}]}})
+    rows = gbfs.read_polls(spark, f"{tmpdir_path}/info", f"{tmpdir_path}/status").orderBy("snapshot_ts").collect()
+    assert [(r.num_bikes_available, r.snapshot_ts) for r in rows] == [
+        (1, dt.datetime(2024, 1, 1, 0, 0)), (2, dt.datetime(2024, 1, 1, 0, 1))]
