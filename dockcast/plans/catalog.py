@@ -13,7 +13,6 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockcast import config
 from dockcast.functions.columns import quantize
 from dockcast.plans.context import Ctx
 

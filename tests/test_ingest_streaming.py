@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from dockcast.sources import gbfs, sinks, weather_json
 from dockcast.streaming import snapshots

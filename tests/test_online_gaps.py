@@ -1,7 +1,6 @@
 import datetime as dt
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from dockcast.operators.grid import gap_report, missing_ticks
 from dockcast.streaming import online

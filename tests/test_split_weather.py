@@ -8,7 +8,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dockcast.functions.columns import micros
 from dockcast.operators import split, weather
 from dockcast.operators.quantile import exact_quantile
 from dockcast.operators.sequence import Sequencer
