@@ -59,11 +59,7 @@ def gbfs_merge(c):
                     count(*) AS n_snapshots FROM snaps GROUP BY ALL) x, LATERAL (SELECT x.r.b AS bikes_available, x.r.c AS capacity) y""")
 def snapshot_panel(c):
     """Snapshots -> 5-minute panel (latest reading per station and tick); the batch twin of the stream."""
-    e = read_table(c.spark, c.sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
-    snaps = e.select(F.col("user_id").cast("string").alias("station_id"), F.col("ts").alias("snapshot_ts"),
-                     F.when(F.col("event_id") % 37 == 0, F.lit(None)).otherwise(F.col("value")).alias("num_bikes_available"),
-                     F.when(F.col("event_type") == "signup", (F.lit(20) + F.col("user_id") % 40).cast("double")).alias("capacity"))
-    return to_panel(snaps)
+    return to_panel(_snapshots(c))
 
 
 @register("utc_normalise", [("event_id", "l"), ("ts_text", "s"), ("ts_utc", "t")],
@@ -80,3 +76,29 @@ def utc_normalise_q(c):
     k = F.col("event_id") % 3
     text = F.when(k == 0, base).when(k == 1, F.concat(iso, F.lit("Z"))).otherwise(F.concat(iso, F.lit("+02:00")))
     return e.select("event_id", text.alias("ts_text")).withColumn("ts_utc", utc_normalise(F.col("ts_text")))
+
+
+def _snapshots(c):
+    e = read_table(c.spark, c.sf, "events", ["event_id", "ts", "user_id", "event_type", "value"])
+    return e.select(F.col("user_id").cast("string").alias("station_id"), F.col("ts").alias("snapshot_ts"),
+                    F.when(F.col("event_id") % 37 == 0, F.lit(None)).otherwise(F.col("value")).alias("num_bikes_available"),
+                    F.when(F.col("event_type") == "signup", (F.lit(20) + F.col("user_id") % 40).cast("double")).alias("capacity"))
+
+
+@register("snapshot_stream", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")])
+def snapshot_stream(c):
+    """The 5-minute panel built by Structured Streaming: snapshots land as time-range files,
+    the file-source stream (watermark 10 min) runs to completion with availableNow, and
+    the closed ticks it emitted are returned (the still-open last ticks are not)."""
+    import uuid
+
+    from dockcast.session import ensure_checkpoint_dir
+    from dockcast.streaming.snapshots import SNAPSHOT_SCHEMA, start_panel
+    root = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/dockcast-stream/{uuid.uuid4().hex}"
+    s = _snapshots(c)
+    full = s.select(*[(F.col(f.name) if f.name in s.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in SNAPSHOT_SCHEMA.fields])
+    full.repartitionByRange(30, "snapshot_ts").write.parquet(f"{root}/landing")     # files arrive as time ranges
+    q = start_panel(c.spark, f"{root}/landing", f"{root}/panel", f"{root}/ckpt", available_now=True)
+    q.awaitTermination()
+    return c.spark.read.parquet(f"{root}/panel")
