@@ -8,9 +8,10 @@ hot station (a third of all rows) would sit in a single task.
 
 ``Sequencer`` therefore has two plans with identical results:
 
-``key``      plain window per station.  Chosen when the per-station row
-             count, measured by a cheap aggregate on the key column, is below
-             ``max_key_rows``.
+``key``      plain window per station.  Chosen when Catalyst's size estimate
+             of the whole input fits one task (no job), or else when the
+             per-station row count, measured by a cheap aggregate on the key
+             column, is below ``max_key_rows``.
 ``blocked``  1. rows get a global per-station index ``_g`` from per-(station,
              time-chunk) counts, a prefix sum over the small chunk table and a
              row number inside each chunk;
@@ -21,8 +22,10 @@ hot station (a third of all rows) would sit in a single task.
              3. windows run per (station, block) ordered by ``_g`` and only the
              block's own rows are kept.
              Unbounded fills (ffill/bfill) use a carry from the chunk table
-             instead of a halo.  Every task is bounded by the block or chunk
-             size, whatever the key skew.
+             instead of a halo.  Time chunks start at one day and narrow when
+             a (station, chunk) exceeds ``max_chunk_rows`` (a size check on
+             the counts).  Every task is bounded by the block or chunk size,
+             whatever the key skew.
 
 Row semantics: lags and rolling frames count rows, not minutes, as in the
 original pandas code.
