@@ -14,20 +14,22 @@ def station_mean(train: DataFrame) -> DataFrame:
     return train.groupBy("station_id").agg(F.avg("occ").alias("sta_mean_occ"))
 
 
-def station_hour_median(train: DataFrame) -> DataFrame:
-    """Exact median occupancy per (station, dow, hour).
+def station_hour_median(train: DataFrame, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """Median occupancy per (station, dow, hour); exact by default.
 
     ``median`` aggregates a value->count map with partial aggregation, so its
     state is bounded by the distinct occupancy values of a group (ratios of
-    small integers), not by the group's row count.
+    small integers), not by the group's row count.  ``approx=True`` opts into
+    ``percentile_approx`` (fixed-size sketch) for continuous-valued data.
     """
     cal = calendar_columns(F.col("ts"))
     t = train.select("station_id", cal["dow"].alias("dow"), cal["hour"].alias("hour"), "occ")
-    return t.groupBy("station_id", "dow", "hour").agg(F.median("occ").alias("sta_hdh_occ"))
+    med = F.percentile_approx("occ", 0.5, accuracy).cast("double") if approx else F.median("occ")
+    return t.groupBy("station_id", "dow", "hour").agg(med.alias("sta_hdh_occ"))
 
 
-def fit(train: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return station_mean(train), station_hour_median(train)
+def fit(train: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFrame]:
+    return station_mean(train), station_hour_median(train, approx)
 
 
 def apply(frame: DataFrame, enc: tuple[DataFrame, DataFrame], materialize: bool = True) -> DataFrame:

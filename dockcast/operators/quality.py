@@ -25,8 +25,10 @@ def dev_sample(panel: DataFrame, n: int = 200) -> DataFrame:
     return panel.join(F.broadcast(top), "station_id", "left_semi")   # n rows, bounded by n
 
 
-def panel_counts(panel: DataFrame) -> DataFrame:
-    return panel.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("station_id").alias("n_stations"))
+def panel_counts(panel: DataFrame, approx: bool = False) -> DataFrame:
+    """Rows and distinct stations (exact; ``approx=True`` uses a HyperLogLog sketch)."""
+    n = F.approx_count_distinct("station_id") if approx else F.countDistinct("station_id")
+    return panel.agg(F.count(F.lit(1)).alias("n_rows"), n.alias("n_stations"))
 
 
 def occ_summary(panel: DataFrame, col: str = "occ") -> DataFrame:
