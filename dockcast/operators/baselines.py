@@ -55,13 +55,15 @@ def seasonal_median(train: DataFrame, value: str = "bikes_available") -> DataFra
     return t.groupBy("station_id", "dow", "hour").agg(F.median(value).alias("pred_seasonal"))
 
 
-def seasonal_mae(with_targets: DataFrame, horizons=config.HORIZONS, q: float = config.SPLIT_TRAINTEST) -> DataFrame:
+def seasonal_mae(with_targets: DataFrame, horizons=config.HORIZONS, q: float = config.SPLIT_TRAINTEST,
+                 cut: DataFrame | None = None) -> DataFrame:
     """Seasonal forecast in bikes: train median of (station, dow, hour) for y_h.
 
     ``with_targets`` is the raw panel with ``y_h`` (future bikes).  Rows are
-    scored where both the truth and the median exist.
+    scored where both the truth and the median exist.  ``cut`` may be a
+    stored one-row cut of the same rows.
     """
-    cut = split_ops.temporal_cut(with_targets, q)
+    cut = cut if cut is not None else split_ops.temporal_cut(with_targets, q)
     train, test = split_ops.split_frames(with_targets, q, cut=cut)
     med = seasonal_median(train)
     cal = calendar_columns(F.col("ts"))

@@ -49,6 +49,12 @@ class Ctx:
         from dockcast.operators.dims import materialise
         return materialise(split.temporal_cut(self.panel, config.SPLIT_TRAINTEST))
 
+    @cached_property
+    def raw_cut(self) -> DataFrame:
+        """Stored cut over the raw panel rows (bike-space baselines)."""
+        from dockcast.operators.dims import materialise
+        return materialise(split.temporal_cut(self.raw, config.SPLIT_TRAINTEST))
+
     @cached_property
     def labelled(self) -> DataFrame:
         """Feature frame with ``is_train``, ``occ_now`` and split-aware delta targets."""

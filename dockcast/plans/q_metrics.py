@@ -73,14 +73,14 @@ def seasonal_median(c):
 
 def _raw_split(c):
     from dockcast.operators import split
-    return split.split_frames(c.raw, config.SPLIT_TRAINTEST)
+    return split.split_frames(c.raw, config.SPLIT_TRAINTEST, cut=c.raw_cut)
 
 
 @register("mae_seasonal", LONG("seasonal"),
           with_(STATION_TS, _TGT, _RCUT, _MED, _SC, SEASONAL_SQL) + "SELECT {out} FROM seasonal")
 def mae_seasonal(c):
     """Seasonal-median forecast error in bikes, rows where truth and median exist."""
-    return baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq))
+    return baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq), cut=c.raw_cut)
 
 
 def _ema_rec(a: float, y: str, w: str, r: str = "r", e: str = "e") -> tuple[str, str]:
@@ -134,10 +134,11 @@ def mae_ewma(c):
                FROM naive n JOIN seasonal s ON n.horizon_min = s.horizon_min JOIN ewma e ON n.horizon_min = e.horizon_min) x""")
 def comparison_table(c):
     """Horizon x method table of the baseline errors (pivot)."""
+    test = c.train_test(c.feat_ema)[1]                 # one feature pass serves naive and EWMA
     return baselines.comparison({
-        "naive": baselines.naive_mae(c.train_test(c.feat)[1]),
-        "seasonal": baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq)),
-        "ewma": baselines.ewma_mae(c.train_test(c.feat_ema)[1]),
+        "naive": baselines.naive_mae(test),
+        "seasonal": baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq), cut=c.raw_cut),
+        "ewma": baselines.ewma_mae(test),
     })
 
 
