@@ -48,6 +48,17 @@ def ewma_mae(test: DataFrame, horizons=config.HORIZONS, ema_col: str = "occ_ema_
     return _long(test.agg(*aggs), {"mae_ewma": "m{h}", "n_rows": "n{h}"}, horizons)
 
 
+def naive_and_ewma_mae(test: DataFrame, horizons=config.HORIZONS, ema_col: str = "occ_ema_fast") -> DataFrame:
+    """Both persistence baselines from one aggregate pass over the test rows."""
+    aggs = []
+    for h in horizons:
+        base = F.col(f"occ_{h}").isNotNull() & F.col("capacity").isNotNull()
+        en = F.when(base & F.col("occ").isNotNull(), _mae_bikes(F.col(f"occ_{h}"), F.col("occ"), F.col("capacity")))
+        ee = F.when(base & F.col(ema_col).isNotNull(), _mae_bikes(F.col(f"occ_{h}"), F.col(ema_col), F.col("capacity")))
+        aggs += [F.avg(en).alias(f"n{h}"), F.avg(ee).alias(f"e{h}")]
+    return _long(test.agg(*aggs), {"mae_naive": "n{h}", "mae_ewma": "e{h}"}, horizons)
+
+
 def seasonal_median(train: DataFrame, value: str = "bikes_available") -> DataFrame:
     """Exact median of ``value`` per (station, dow, hour) on train."""
     cal = calendar_columns(F.col("ts"))

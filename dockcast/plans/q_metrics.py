@@ -134,12 +134,9 @@ def mae_ewma(c):
                FROM naive n JOIN seasonal s ON n.horizon_min = s.horizon_min JOIN ewma e ON n.horizon_min = e.horizon_min) x""")
 def comparison_table(c):
     """Horizon x method table of the baseline errors (pivot)."""
-    test = c.train_test(c.feat_ema)[1]                 # one feature pass serves naive and EWMA
-    return baselines.comparison({
-        "naive": baselines.naive_mae(test),
-        "seasonal": baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq), cut=c.raw_cut),
-        "ewma": baselines.ewma_mae(test),
-    })
+    both = baselines.naive_and_ewma_mae(c.train_test(c.feat_ema)[1])    # one feature + EMA pass, one aggregate
+    seasonal = baselines.seasonal_mae(features.with_targets_only(c.raw, "bikes_available", "y", c.seq), cut=c.raw_cut)
+    return both.join(F.broadcast(seasonal.select("horizon_min", "mae_seasonal")), "horizon_min")   # 3 rows each
 
 
 @register("station_variance", [("station_id", "s"), ("var_bikes", "q")],
