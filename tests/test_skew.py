@@ -35,3 +35,12 @@ def test_dense_chunks_narrow_the_chunk_width(spark):
     key = features.build_features(panel.clean_panel(df, key_seq), key_seq).orderBy("station_id", "ts", "event_id").toPandas()
     for c in ("occ_lag_60", "occ_roll_180", "occ_60", "capacity"):
         assert close(key[c], blk[c]), c
+
+
+def test_auto_strategy_checks_sizes(spark):
+    rows = [("big", 5 * i, 1, 10) for i in range(50)] + [("small", 5 * i, 1, 10) for i in range(5)]
+    df = make_panel(spark, rows)
+    assert Sequencer(order=("ts", "event_id")).resolve(df) == "key"                       # tiny input: no job
+    forced = Sequencer(order=("ts", "event_id"), max_key_bytes=0, max_key_rows=40)       # count path
+    assert forced.resolve(df) == "blocked"
+    assert Sequencer(order=("ts", "event_id"), max_key_bytes=0, max_key_rows=60).resolve(df) == "key"
