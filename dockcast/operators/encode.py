@@ -22,14 +22,27 @@ def station_hour_median(train: DataFrame, approx: bool = False, accuracy: int =
     small integers), not by the group's row count.  ``approx=True`` opts into
     ``percentile_approx`` (fixed-size sketch) for continuous-valued data.
     """
-    cal = calendar_columns(F.col("ts"))
-    t = train.select("station_id", cal["dow"].alias("dow"), cal["hour"].alias("hour"), "occ")
+    t = _narrow(train)
     med = F.percentile_approx("occ", 0.5, accuracy).cast("double") if approx else F.median("occ")
     return t.groupBy("station_id", "dow", "hour").agg(med.alias("sta_hdh_occ"))
 
 
-def fit(train: DataFrame, approx: bool = False) -> tuple[DataFrame, DataFrame]:
-    return station_mean(train), station_hour_median(train, approx)
+def _narrow(train: DataFrame) -> DataFrame:
+    """(station_id, dow, hour, occ): all the encodings read."""
+    if {"dow", "hour"} <= set(train.columns) and "ts" not in train.columns:
+        return train.select("station_id", "dow", "hour", "occ")
+    cal = calendar_columns(F.col("ts"))
+    return train.select("station_id", cal["dow"].alias("dow"), cal["hour"].alias("hour"), "occ")
+
+
+def fit(train: DataFrame, approx: bool = False, store: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Both encodings.  ``store`` writes the narrow train projection once, so the
+    two aggregates read it instead of each recomputing the train plan."""
+    t = _narrow(train)
+    if store:
+        from dockcast.operators.dims import materialise
+        t = materialise(t)
+    return station_mean(t), station_hour_median(t, approx)
 
 
 def apply(frame: DataFrame, enc: tuple[DataFrame, DataFrame], materialize: bool = True) -> DataFrame:

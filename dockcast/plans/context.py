@@ -87,7 +87,7 @@ class Ctx:
     @cached_property
     def encodings(self):
         train, _ = self.train_test(self.panel)
-        return encode.fit(train)
+        return encode.fit(train, store=True)
 
     @cached_property
     def requests(self) -> DataFrame:
