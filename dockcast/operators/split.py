@@ -44,8 +44,8 @@ def delta_targets(df: DataFrame, cut: DataFrame, horizons=config.HORIZONS) -> Da
     row lies across the cut; ``ts_h`` (kept by ``build_features``) tells.
     No second window is needed.
     """
-    c = F.broadcast(cut.select(F.col("cut_us").alias("_cut_us")))
-    d = df.crossJoin(c)
+    # reuse a cut already attached by ``label_split``; else attach the one-row cut
+    d = df if "_cut_us" in df.columns else df.crossJoin(F.broadcast(cut.select(F.col("cut_us").alias("_cut_us"))))
     cols = {}
     for h in horizons:
         crosses = (micros("ts") <= F.col("_cut_us")) & (micros(f"ts_{h}") > F.col("_cut_us"))

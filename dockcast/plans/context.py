@@ -58,8 +58,8 @@ class Ctx:
     @cached_property
     def labelled(self) -> DataFrame:
         """Feature frame with ``is_train``, ``occ_now`` and split-aware delta targets."""
-        d = split.delta_targets(self.feat, self.cut)
-        d = split.label_split(d, self.cut).drop("_cut_us")
+        d = split.label_split(self.feat, self.cut)          # one broadcast of the one-row cut
+        d = split.delta_targets(d, self.cut)
         return d.withColumn("occ_now", F.col("occ"))
 
     @cached_property
