@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockcast.session import ensure_checkpoint_dir
+from dockcast.session import table_folder
 
 # A dimension above this many rows is joined by shuffle instead.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -21,11 +19,9 @@ def materialise(df: DataFrame) -> DataFrame:
     re-reads files instead of recomputing the plan, and counts come from
     Parquet metadata.
     """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/dockcast-tables/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    path = table_folder(df.sparkSession)
+    df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sized_join(big: DataFrame, dim: DataFrame, on, how: str = "left",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,10 @@ DEFAULT_CONF = {
 }
 
 
+# the folder a local session without spark.checkpoint.dir made for itself
+_LOCAL: dict[str, str] = {}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "dockcast", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults.
@@ -46,16 +51,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object-store) folder there; it is used
-    as is.  Only when it is unset — local runs and tests — a folder of our
-    own is created.
+    as is.  Unset, a local session (tests) gets a folder of its own, and any
+    other master is an error: executors could not see each other's files.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL.get("dir")
     if not d:
-        d = tempfile.mkdtemp(prefix="dockcast-ckpt-", dir=os.environ.get("DOCKCAST_LOCAL_DIR"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:                                   # RDD checkpoints (absent on a Connect session)
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001
-        pass
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _LOCAL["dir"] = tempfile.mkdtemp(prefix="dockcast-ckpt-", dir=os.environ.get("DOCKCAST_LOCAL_DIR"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def table_folder(spark: SparkSession) -> str:
+    """A new folder for one stored table; Hadoop deletes it when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dockcast-tables/{uuid.uuid4().hex}"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
