@@ -105,10 +105,10 @@ def mix(df: DataFrame, ratio: float = RATIO, weights=WEIGHTS, cap: int = CAP, se
 
 def mixed_rows(df: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``df`` repeated ``copies`` times (``df`` has doc_id, text, source)."""
-    names = [F.col(f"`{c}`") for c in df.columns]
-    sized = df.withColumn("size", text_size(F.col("text"))) if "size" not in df.columns else df
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__doc")
+    sized = df.select(whole, "doc_id", "source", text_size(F.col("text")).alias("size"))
     return (mix(sized, **options).filter("copies > 0")
-            .withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*names))
+            .withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("__doc.*"))
 
 
 def mix_query(docs: DataFrame) -> DataFrame:
