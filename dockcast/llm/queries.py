@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from dockcast.llm import chat, fingerprint, mixing, sharding
+from dockcast.llm import chat, decontaminate, fingerprint, mixing, neardup, sharding
 from dockcast.llm.common import table
 
 QUERIES = {
+    "op1_decontamination": lambda spark, sf: decontaminate.decontaminate_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op4_fingerprints": lambda spark, sf: fingerprint.fingerprint_query(table(spark, sf, "documents")),
+    "op5_near_duplicates": lambda spark, sf: neardup.neardup_query(table(spark, sf, "documents")),
     "op6_mixing": lambda spark, sf: mixing.mix_query(table(spark, sf, "documents")),
     "op7_chat_format": lambda spark, sf: chat.chat_query(table(spark, sf, "conversations")),
     "op8_sharding": lambda spark, sf: sharding.shard_query(table(spark, sf, "documents")),
