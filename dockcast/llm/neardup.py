@@ -45,6 +45,7 @@ RATE = 20.0                  # rate of the exponential values
 LIMIT = 65534
 # Candidates whose estimate is below this are not checked: five standard errors under the threshold.
 ESTIMATE = 0.75 - 5 * (0.75 * 0.25 / M) ** 0.5
+BLOCK = 512                  # nodes of a bucket compared with as many others in one task
 RUN_BYTES = 1 << 20          # text hashed at a time
 CACHED = 1 << 15             # shingles whose registers are computed at a time
 
@@ -189,6 +190,75 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame
             .filter(shared * THRESHOLD[1] >= (F.size("sa") + F.size("sb") - shared) * THRESHOLD[0]).select("a", "b"))
 
 
+def _across(docs: DataFrame, rest: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that share a bucket of ``rest``, not a component, and reach the threshold.
+
+    ``rest`` has (band, at, node, component, n), n the bucket's members.  A bucket is
+    cut into blocks of about ``BLOCK`` nodes and compared block against block, so
+    a task holds two blocks at most.  Registers rule out most pairs (they agree at
+    least as often as the sets are similar), 32-bit shingles settle the others;
+    nothing is emitted but pairs that reach the threshold, and only as long as
+    they join components that the task has not seen joined.
+    """
+    asked = materialise(rest.select(F.col("node").alias("doc_id")).distinct())
+
+    def small_sets(batches):
+        for ids, texts in text_runs(batches, True, RUN_BYTES):
+            blobs = [np.unique(s.astype(np.uint32)).tobytes() for s in shingle_sets(texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "shingles"])
+    sets = materialise(checked_join(docs.select("doc_id", "text"), asked, "doc_id", "left_semi")
+                       .mapInArrow(small_sets, "node long, shingles binary"))
+    carried = (checked_join(nodes, asked, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "registers")
+               .join(sets, "node"))
+    blocks = F.ceil(F.col("n") / BLOCK)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = (rest.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks")).withColumn("other", other)
+             .select("band", "at", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "node", "component")
+             .join(carried, "node").repartition("band", "x", "y").sortWithinPartitions("band", "x", "y", "node"))
+
+    def compare(batches):
+        key, held = None, []
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = (row["band"], row["x"], row["y"])
+                if here != key and held:
+                    yield from _links(held)
+                    held = []
+                key = here
+                held.append(row)
+        if held:
+            yield from _links(held)
+    return dealt.mapInArrow(compare, "a long, b long")
+
+
+def _links(rows: list[dict]):
+    """Links across components among the rows of one pair of blocks."""
+    reg = np.frombuffer(b"".join(r["registers"] for r in rows), np.uint16).reshape(-1, M)
+    size = np.array([r["n_shingles"] for r in rows])
+    node = np.array([r["node"] for r in rows])
+    own = np.array([r["own"] for r in rows])
+    x, y, at = rows[0]["x"], rows[0]["y"], rows[0]["at"]
+    component = np.array([r["component"] for r in rows])
+    sets = [np.frombuffer(r["shingles"], np.uint32) for r in rows]
+    found = []
+    for i in np.flatnonzero(own == x):
+        partners = np.flatnonzero((own == y) & (component != component[i]) & (np.minimum(size, size[i]) * THRESHOLD[1] >= np.maximum(size, size[i]) * THRESHOLD[0])
+                                  & ((node > node[i]) if x == y else True))
+        equal = reg[partners] == reg[i]
+        keep = equal.mean(1) >= ESTIMATE
+        # a pair is settled in the first band it shares
+        first = equal[keep].reshape(-1, BANDS, ROWS).all(2).argmax(1) == at
+        for j in partners[keep][first]:
+            if component[i] == component[j]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared * THRESHOLD[1] >= (size[i] + size[j] - shared) * THRESHOLD[0]:
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
+                component[component == component[j]] = component[i]
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
@@ -197,26 +267,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = materialise(full.groupBy("sig1", "sig2", "n_shingles").agg(F.min("doc_id").alias("node")))
     reps = materialise(classes.select(F.col("node").alias("doc_id")).distinct())
     nodes = materialise(checked_join(full, reps, "doc_id", "left_semi").select("doc_id", "n_shingles", "registers", "bands"))
-    banded = nodes.select(F.col("doc_id").alias("node"), "n_shingles", F.explode("bands").alias("band"))
-    buckets = materialise(banded.groupBy("band").agg(F.min(F.struct("node", "n_shingles")).alias("centre"), F.count(F.lit(1)).alias("n"))
+    banded = nodes.select(F.col("doc_id").alias("node"), "n_shingles", F.posexplode("bands").alias("at", "band"))
+    # each bucket has a centre of its own, so that a large group has many
+    centre = F.min(F.struct(F.xxhash64("node", "band").alias("h"), "node", "n_shingles"))
+    buckets = materialise(banded.groupBy("band").agg(centre.alias("centre"), F.count(F.lit(1)).alias("n"))
                           .filter("n > 1").select("band", F.col("centre.node").alias("centre"), F.col("centre.n_shingles").alias("centre_size")))
     members = materialise(checked_join(banded, buckets, "band", "inner"))
     stars = materialise(members.filter((F.col("node") != F.col("centre")) & _near_size(F.col("n_shingles"), F.col("centre_size")))
-                        .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+                        .select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct())
     first = materialise(_confirmed(docs, stars, nodes))
     # the documents of a class and its node; a doc_id with several texts joins their classes
     copies = (full.select("doc_id", "sig1", "sig2", "n_shingles").join(classes, ["sig1", "sig2", "n_shingles"])
               .select(F.col("node").alias("a"), F.col("doc_id").alias("b")).filter("a <> b"))
     labels = materialise(components(first))
-    # buckets that still span several components: pairs across them only
-    split = materialise(members.select("band", "node", "n_shingles").join(labels, "node", "left")
+    # buckets that still span several components: links across them only
+    split = materialise(members.select("band", "at", "node").join(labels, "node", "left")
                         .withColumn("component", F.coalesce("component", "node")))
-    open_ = split.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("band")
-    rest = materialise(split.join(open_, "band", "left_semi"))
-    x, y = rest.toDF("band", "a", "na", "ca"), rest.toDF("band", "b", "nb", "cb")
-    across = (x.join(y, (x["band"] == y["band"]) & (x["a"] < y["b"]) & (x["ca"] != y["cb"]) & _near_size(x["na"], y["nb"]))
-              .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    second = _confirmed(docs, materialise(across), nodes)
+    open_ = split.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y")
+    rest = materialise(split.join(open_.select("band", "n"), "band"))
+    second = _confirmed(docs, materialise(_across(docs, rest, nodes).distinct().join(stars, ["a", "b"], "left_anti")), nodes)
     edges = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second).unionByName(copies)
     groups = materialise(components(edges))
     lone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)

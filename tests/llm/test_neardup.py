@@ -67,8 +67,10 @@ def test_query_equals_brute_force(docs):
     assert len({r.component_id for r in got}) < len(got) - 20
 
 
-def test_large_group_is_linked_through_its_members(docs):
+@pytest.mark.parametrize("block", [512, 7])
+def test_large_group_is_linked_through_its_members(docs, monkeypatch, block):
     """Copies near a base but not near each other: links that a bucket's centre misses are found."""
+    monkeypatch.setattr(nd, "BLOCK", block)
     rng = random.Random(2)
     vocab = [f"v{i}" for i in range(500)]
     base = [rng.choice(vocab) for _ in range(150)]
