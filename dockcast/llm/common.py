@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockcast.operators.dims import materialise
 
@@ -39,18 +38,15 @@ def collapse(df: DataFrame, n: str = "__n") -> DataFrame:
     return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(n))
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """A rough size of one row with fixed-width columns (strings and arrays are guessed)."""
-    return sum(8 if not isinstance(f.dataType, (T.StringType, T.ArrayType, T.BinaryType)) else 64 for f in schema) + 8
+def checked_join(big: DataFrame, small: DataFrame, on, how: str, row: int = 64, measure: Column | None = None) -> DataFrame:
+    """Join with a stored table: broadcast it only when its measured size fits ``BROADCAST_MAX_BYTES``.
 
-
-def checked_join(big: DataFrame, small: DataFrame, on, how: str, row: int | None = None) -> DataFrame:
-    """Join with a stored table: broadcast it only when its counted rows fit ``BROADCAST_MAX_BYTES``.
-
-    ``row`` is the bound of one row's bytes in memory.  Above the limit the
-    join is a shuffle join, whose skewed partitions Spark splits.
+    The size is ``row`` bytes for every counted row, plus the sum of ``measure``
+    where rows hold arrays.  Above the limit the join is a shuffle join, whose
+    skewed partitions Spark splits.
     """
-    if small.count() * (row or row_bytes(small.schema)) <= BROADCAST_MAX_BYTES:
+    rows, more = small.agg(F.count(F.lit(1)), F.sum(F.lit(0) if measure is None else measure)).first()
+    if rows * row + (more or 0) <= BROADCAST_MAX_BYTES:
         small = F.broadcast(small)
     return big.join(small, on, how)
 

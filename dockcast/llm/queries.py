@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dockcast.llm import chat, decontaminate, fingerprint, mixing, neardup, sharding
+from dockcast.llm import chat, decontaminate, fingerprint, mixing, neardup, sharding, substring
 from dockcast.llm.common import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_mixing": lambda spark, sf: mixing.mix_query(table(spark, sf, "documents")),
     "op7_chat_format": lambda spark, sf: chat.chat_query(table(spark, sf, "conversations")),
     "op8_sharding": lambda spark, sf: sharding.shard_query(table(spark, sf, "documents")),
+    "op9_substring_dedup": lambda spark, sf: substring.substring_query(table(spark, sf, "documents")),
 }
 
 ORACLE = {
