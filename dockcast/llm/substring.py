@@ -26,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast.llm.common import checked_join, materialise
@@ -62,10 +62,7 @@ def _text_words(batches):
 
 
 def _combined(parts, schema_names):
-    """Rows (hash, doc, pos, twice) of a task: equal hashes seen together become one row that says so, the others stay marked local.
-
-    The first of several is the only one the others need to meet; each of them is already known to repeat.
-    """
+    """Rows (hash, doc, pos, twice, lead): whether a hash was seen more than once here, and the first row of each hash."""
     h, d, p = (np.concatenate(x) for x in zip(*parts))
     order = np.argsort(h, kind="stable")
     h, d, p = h[order], d[order], p[order]
@@ -94,13 +91,16 @@ def _emit(source):
 
 
 def _repeated(keys: DataFrame) -> DataFrame:
-    """(doc, pos) of the stored rows whose key occurs twice or more."""
-    # one lead row per key and batch of a task meets the leads of the others
-    leads = keys.filter("lead").select("key", F.col("twice"))
-    many = materialise(leads.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("t")).filter("n > 1").select("key"))
-    here = keys.filter("twice").select("doc", "pos")
-    there = checked_join(keys.filter("NOT twice").select("key", "doc", "pos"), many, "key", "left_semi", 32).select("doc", "pos")
-    return here.unionByName(there)
+    """(doc, pos) of the rows whose key occurs twice or more: one shuffle.
+
+    One lead row per key and batch of a task meets the leads of the others, so a
+    key has no more rows than there are batches; the rows that a task has
+    settled itself are dealt by place, not by key.
+    """
+    meet = F.when(F.col("lead"), F.col("key")).otherwise(F.xxhash64("doc", "pos"))
+    together = Window.partitionBy("meet", "lead")
+    return (keys.withColumn("meet", meet).withColumn("n", F.count(F.lit(1)).over(together))
+            .filter(F.col("twice") | (F.col("lead") & (F.col("n") > 1))).select("doc", "pos"))
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -144,7 +144,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> tuple[DataFram
                         at = anchors(grams[a:b - k + 1], window)
                         yield grams[a + at], np.full(len(at), key, np.int64), at
         yield from _emit(source())
-    seeded = _position_lists(_repeated(materialise(pool.mapInArrow(seeds, _KEYS))))
+    seeded = _position_lists(_repeated(pool.mapInArrow(seeds, _KEYS)))
 
     def extensions(batches):
         def source():
@@ -159,8 +159,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> tuple[DataFram
                         starts = starts[(starts >= 0) & (starts <= b - a - length)]
                         yield whole[a + starts], np.full(len(starts), key, np.int64), starts
         yield from _emit(source())
-    found = materialise(_texts_of(pool, seeded).mapInArrow(extensions, _KEYS))
-    stand = _position_lists(_repeated(found))
+    stand = _position_lists(_repeated(_texts_of(pool, seeded).mapInArrow(extensions, _KEYS)))
     return stand.select("doc", _spans(F.col("positions"), length).alias("spans")), copied
 
 
