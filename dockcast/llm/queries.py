@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dockcast.llm import chat, decontaminate, fingerprint, mixing, neardup, quality, sharding, substring
+from dockcast.llm import chat, decontaminate, fingerprint, html, mixing, neardup, quality, sharding, substring
 from dockcast.llm.common import table
 
 QUERIES = {
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_chat_format": lambda spark, sf: chat.chat_query(table(spark, sf, "conversations")),
     "op8_sharding": lambda spark, sf: sharding.shard_query(table(spark, sf, "documents")),
     "op9_substring_dedup": lambda spark, sf: substring.substring_query(table(spark, sf, "documents")),
+    "op10_html_text": lambda spark, sf: html.html_query(table(spark, sf, "pages")),
 }
 
 ORACLE = {
