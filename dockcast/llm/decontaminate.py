@@ -304,6 +304,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = PHRASE) -> Dat
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, all columns; equal rows are judged alike."""
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    judged = contamination(keyed.select(F.col("__key").alias("doc_id"), "text"), benchmark)
+    bad = materialise(judged.filter("contaminated").select(F.col("doc_id").alias("__key")).distinct())
+    return checked_join(keyed, bad, "__key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def decontaminate_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contamination of every document by the contract of op1."""
     return contamination(docs, benchmark).select(

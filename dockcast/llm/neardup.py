@@ -293,6 +293,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .select("doc_id", "n_shingles", F.when(lone, F.col("doc_id")).otherwise(F.coalesce("component", "doc_id")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one document of each group, all columns.
+
+    Of several rows with the doc_id that stays, the smallest (column by column) stays;
+    rows without a doc_id all stay.
+    """
+    near = materialise(near_duplicates(docs))
+    known = near.filter("doc_id IS NOT NULL")
+    ids = materialise(known.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct())
+    several = materialise(known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    kept = checked_join(docs.filter("doc_id IS NOT NULL"), ids, "doc_id", "left_semi")
+    once = checked_join(kept, several, "doc_id", "left_anti")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    chosen = checked_join(kept, several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(whole).alias("__row")).select("__row.*")
+    return once.select(*docs.columns).unionByName(chosen).unionByName(docs.filter("doc_id IS NULL"))
+
+
 def neardup_query(docs: DataFrame) -> DataFrame:
     """Components of every document by the contract of op5."""
     return near_duplicates(docs).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
