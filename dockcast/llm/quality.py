@@ -37,7 +37,8 @@ BATCH = 32
 RATE = 0.02
 SEED = 7
 REJECT_BELOW = 0.3      # a filter drops only texts scored well below one half
-SLICE = 1 << 18         # positions convolved at a time in a task
+SLICE = 1 << 13         # positions convolved at a time: their responses stay in the processor's cache
+RUN_BYTES = 1 << 20     # text handled at a time
 
 
 def chunks(n: int) -> list[tuple[int, int]]:
@@ -174,7 +175,7 @@ def score(docs: DataFrame, model: Network | float, key: str = "doc_id") -> DataF
         for batch in batches:
             done, n = [], 0
             for at, texts in text_runs([pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(1)], names=["i", "t"])],
-                                       False, 4 * SLICE):
+                                       False, RUN_BYTES):
                 done.append(np.full(len(texts), model) if isinstance(model, float) else model.scores(texts))
                 n += len(texts)
             if n:
