@@ -88,10 +88,12 @@ def mix(df: DataFrame, ratio: float = RATIO, weights=WEIGHTS, cap: int = CAP, se
     block = ["__src", "__octave", "__lead", "__part"]
     binary = F.bin(F.col("size"))
     n_parts = targets.agg(F.max("__parts")).first()[0] or MIN_PARTS
-    keyed = (collapse(df).withColumn("__src", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
-             .withColumn("__octave", F.length(binary)).withColumn("__lead", F.substring(binary, 1, 4))
-             .withColumn("__part", F.pmod(_hex32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n_parts))))
-    starts = (keyed.groupBy(*block).agg(F.sum("__n").alias("__rows"))
+    place = {"__src": F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")), "__octave": F.length(binary),
+             "__lead": F.substring(binary, 1, 4),
+             "__part": F.pmod(_hex32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n_parts))}
+    keyed = collapse(df).withColumns(place)
+    # counted over the input itself, so that only the few columns that place a row are read
+    starts = (df.select("source", "doc_id", "size").withColumns(place).groupBy(*block).agg(F.count(F.lit(1)).alias("__rows"))
               .withColumn("__start", F.sum("__rows").over(Window.partitionBy("__src").orderBy(*block[1:])) - F.col("__rows")).drop("__rows"))
     inside = Window.partitionBy(*block).orderBy("size", *[F.col(f"`{c}`") for c in columns]).rowsBetween(Window.unboundedPreceding, 0)
     rows = (keyed.withColumn("__upto", F.sum("__n").over(inside)).join(starts, block).join(targets, "__src")
