@@ -3,89 +3,137 @@
 The recursion ``y = (1-a) y + a x`` with pandas' ``adjust=False`` null rule
 (a value carries over nulls while the old weight keeps decaying) is a
 sequential scan; Spark has no native recursive window, so this is the one
-feature that runs in Python: ``applyInPandas`` on Arrow batches, calling the
-vectorised ``ewm`` per group.
-
-Groups are bounded: with the ``key`` plan a group is one station whose size
-was checked; with the ``blocked`` plan a group is one block plus a halo of
-``ema_lookback()`` rows.  The halo starts the scan from an empty state,
-which changes a value by at most ``(1 - alpha) ** lookback`` (below 1e-12 for
-both alphas) — far below the float32 precision the features are stored in.
+feature that runs in Python, on Arrow batches.
+
+The scan's whole state is two numbers per alpha: the average ``y`` and the
+rows since the last value.  It is carried, so results are exact at any length
+and over any run of nulls:
+
+* ``key`` plan: from one Arrow batch of a station to the next;
+* ``blocked`` plan: every block of rows is summarised as an affine step of
+  the state, the steps of a station are composed over its small block
+  table, and each block is replayed from its exact start.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dockcast import config
 
-EMA_TOLERANCE = 1e-12
+ALPHAS = {"occ_ema_fast": config.EMA_FAST_ALPHA, "occ_ema_slow": config.EMA_SLOW_ALPHA}
+EMA_COLUMNS = (*ALPHAS, "occ_momentum")
 
 
-def ema_lookback(alpha: float = min(config.EMA_FAST_ALPHA, config.EMA_SLOW_ALPHA), tol: float = EMA_TOLERANCE) -> int:
-    """Rows of history after which the start state weighs less than ``tol``."""
-    return int(math.ceil(math.log(tol) / math.log(1.0 - alpha)))
+def _run(x: np.ndarray, alpha: float, y: float, nulls: int) -> np.ndarray:
+    """Average after each row of ``x``, continuing from ``y`` and ``nulls`` rows without a value since."""
+    before = np.empty(0) if np.isnan(y) else np.concatenate([[y], np.full(nulls, np.nan)])
+    return pd.Series(np.concatenate([before, x])).ewm(alpha=alpha, adjust=False).mean().to_numpy()[len(before):]
 
 
-def ema_columns(occ: pd.Series) -> dict[str, pd.Series]:
-    """EMA fast/slow/momentum of ``occ`` shifted by one row (ordered input)."""
-    x = occ.astype("float64").shift(1)
-    fast = x.ewm(alpha=config.EMA_FAST_ALPHA, adjust=False).mean().astype("float32")
-    slow = x.ewm(alpha=config.EMA_SLOW_ALPHA, adjust=False).mean().astype("float32")
-    return {"occ_ema_fast": fast, "occ_ema_slow": slow, "occ_momentum": (fast - slow).astype("float32")}
+def _trailing_nulls(x: np.ndarray, nulls: int) -> int:
+    known = np.flatnonzero(~np.isnan(x))
+    return int(len(x) - 1 - known[-1]) if len(known) else nulls + len(x)
 
 
-def _grouped_ema(pdf: pd.DataFrame, keys: list[str]) -> dict[str, np.ndarray]:
-    """EMA columns for a frame sorted by (keys, order); one vectorised call per alpha."""
-    grp = [pdf[k] for k in keys]
-    x = pdf["occ"].astype("float64").groupby(grp, sort=False).shift(1)
-    out = {}
-    for name, a in (("occ_ema_fast", config.EMA_FAST_ALPHA), ("occ_ema_slow", config.EMA_SLOW_ALPHA)):
-        e = x.groupby(grp, sort=False).ewm(alpha=a, adjust=False).mean()
-        e = e.reset_index(level=list(range(len(keys))), drop=True).reindex(pdf.index)
-        out[name] = e.to_numpy().astype("float32")
-    out["occ_momentum"] = (out["occ_ema_fast"] - out["occ_ema_slow"]).astype("float32")
-    return out
+def _replay(pdf: pd.DataFrame, groups: list[str], carried, starts: bool):
+    """EMA columns of a batch sorted by (groups, order); returns the state after its last row.
 
-
-def add_ema_grouped(df: DataFrame, seq, w=None) -> DataFrame:
-    """Add EMA columns to the output of a window over ``seq``'s partitions.
-
-    The window leaves each partition sorted by (group, order), so a group's
-    rows are contiguous: ``mapInPandas`` runs one grouped ``ewm`` per Arrow
-    batch — no extra shuffle, no per-group Python call.  A group cut by a
-    batch boundary continues from the previous batch's last ``ema_lookback()``
-    rows (the same bounded start as the blocked plan).
+    ``carried`` is (group, state) of the batch before; with ``starts`` a new
+    group begins from the columns ``_y_*`` and ``_nulls``, else from nothing.
     """
-    groups = seq.group_cols(df)
-    order = seq.sort_cols(df)
-    lookback = ema_lookback()
-    names = [f.name for f in df.schema.fields]
-    schema = T.StructType(df.schema.fields + [
-        T.StructField(c, T.FloatType(), True) for c in ("occ_ema_fast", "occ_ema_slow", "occ_momentum")])
+    x = pdf["occ"].to_numpy(dtype="float64", na_value=np.nan)
+    ids = pdf.groupby(groups, sort=False, dropna=False).ngroup().to_numpy()
+    cuts = np.concatenate([np.flatnonzero(np.diff(ids, prepend=-1)), [len(x)]])
+    out = {c: np.empty(len(x)) for c in ALPHAS}
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        group = tuple(pdf[g].iat[a] for g in groups)
+        if carried is not None and carried[0] == group:
+            state = carried[1]
+        elif starts:
+            nulls = pdf["_nulls"].iat[a]
+            state = ({c: float(pdf[f"_y_{c}"].iat[a]) for c in ALPHAS}, 0 if pd.isna(nulls) else int(nulls))
+        else:
+            state = ({c: np.nan for c in ALPHAS}, 0)
+        after = {}
+        for c, alpha in ALPHAS.items():
+            y = _run(x[a:b], alpha, state[0][c], state[1])
+            out[c][a], out[c][a + 1:b] = state[0][c], y[:-1]             # a row sees the rows before it
+            after[c] = y[-1]
+        carried = (group, (after, _trailing_nulls(x[a:b], state[1])))
+    for c in ALPHAS:
+        pdf[c] = out[c].astype("float32")
+    pdf["occ_momentum"] = (pdf["occ_ema_fast"] - pdf["occ_ema_slow"]).astype("float32")
+    return pdf, carried
+
+
+def _with_ema(df: DataFrame, groups: list[str], order: list[str], starts: bool) -> DataFrame:
+    drop = [f"_y_{c}" for c in ALPHAS] + ["_nulls"] if starts else []
+    fields = [f for f in df.schema.fields if f.name not in drop] + [T.StructField(c, T.FloatType(), True) for c in EMA_COLUMNS]
+    names = [f.name for f in fields]
 
     def per_partition(batches):
-        tail = None
+        carried = None
         for pdf in batches:
-            if len(pdf) == 0:
+            if len(pdf):
+                pdf, carried = _replay(pdf.reset_index(drop=True), groups, carried, starts)
+                yield pdf[names]
+    return df.sortWithinPartitions(*groups, *order).mapInPandas(per_partition, T.StructType(fields))
+
+
+def add_ema_grouped(df: DataFrame, seq) -> DataFrame:
+    """``key`` plan: EMA columns on the output of a window over ``seq``'s partitions, which are sorted already."""
+    return _with_ema(df, seq.keys, seq.sort_cols(df), starts=False)
+
+
+def add_ema_blocked(df: DataFrame, seq, block: str, row: str) -> DataFrame:
+    """``blocked`` plan: EMA columns on indexed rows (``row`` numbers a station's rows, ``block`` groups them).
+
+    Blocks are bounded, so one block is held in memory; a station's block table
+    has a row per block.
+    """
+    keys = seq.keys
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    steps = T.StructType([*[T.StructField(k, kinds[k]) for k in keys], T.StructField(block, T.LongType()),
+                          T.StructField("_n", T.LongType()), T.StructField("_first", T.LongType()), T.StructField("_last", T.LongType()),
+                          T.StructField("_x", T.DoubleType()),
+                          *[T.StructField(f"_{p}_{c}", T.DoubleType()) for c in ALPHAS for p in ("a", "b")]])
+
+    def step(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values(row)["occ"].to_numpy(dtype="float64", na_value=np.nan)
+        known = np.flatnonzero(~np.isnan(x))
+        out = {**{k: pdf[k].iat[0] for k in keys}, block: pdf[block].iat[0], "_n": len(x), "_first": None, "_last": None, "_x": None}
+        if len(known):
+            out |= {"_first": known[0], "_last": known[-1], "_x": x[known[0]]}
+            for c, alpha in ALPHAS.items():
+                # the last average is affine in the first: read it at 0 and at 1
+                zero, one = (_run(np.concatenate([[y], x[known[0] + 1:]]), alpha, np.nan, 0)[-1] for y in (0.0, 1.0))
+                out |= {f"_a_{c}": one - zero, f"_b_{c}": zero}
+        return pd.DataFrame([out], columns=steps.fieldNames())
+
+    begun = T.StructType([*steps.fields[:len(keys) + 1], *[T.StructField(f"_y_{c}", T.DoubleType()) for c in ALPHAS],
+                          T.StructField("_nulls", T.LongType())])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        y, nulls, out = {c: np.nan for c in ALPHAS}, 0, []
+        for r in pdf.sort_values(block).to_dict("records"):
+            out.append({**{k: r[k] for k in keys}, block: r[block], **{f"_y_{c}": y[c] for c in ALPHAS}, "_nulls": nulls})
+            if pd.isna(r["_x"]):
+                nulls += int(r["_n"])
                 continue
-            pdf = pdf.reset_index(drop=True)
-            first = tuple(pdf.loc[0, groups])
-            pre = 0
-            if tail is not None and tuple(tail.iloc[-1][groups]) == first:
-                pre = len(tail)
-                pdf = pd.concat([tail, pdf], ignore_index=True)
-            for k, v in _grouped_ema(pdf, groups).items():
-                pdf[k] = v
-            last = tuple(pdf.iloc[-1][groups])
-            same = (pdf[groups] == pd.Series(last, index=groups)).all(axis=1)
-            tail = pdf.loc[same, names].tail(lookback).reset_index(drop=True)
-            yield pdf.iloc[pre:]
-
-    # order inside partitions is the window's sort; keep it explicit for safety
-    return df.sortWithinPartitions(*groups, *order).mapInPandas(per_partition, schema)
+            for c, alpha in ALPHAS.items():
+                old = (1 - alpha) ** (nulls + int(r["_first"]) + 1)
+                first = r["_x"] if np.isnan(y[c]) else (old * y[c] + alpha * r["_x"]) / (old + alpha)
+                y[c] = r[f"_a_{c}"] * first + r[f"_b_{c}"]
+            nulls = int(r["_n"] - 1 - r["_last"])
+        return pd.DataFrame(out, columns=begun.fieldNames())
+
+    table = df.select(*keys, block, row, "occ").groupBy(*keys, block).applyInPandas(step, steps)
+    starts = table.groupBy(*keys).applyInPandas(compose, begun)
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*keys, block)]
+    placed = df.alias("d").join(starts.alias("s"), same, "inner").select("d.*", *[f"s._y_{c}" for c in ALPHAS], "s._nulls")
+    return _with_ema(placed.repartition(*keys, block), [*keys, block], [row], starts=True)

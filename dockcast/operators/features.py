@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dockcast import config
 from dockcast.functions.columns import calendar_columns
+from dockcast.operators.ema import add_ema_blocked, add_ema_grouped
 from dockcast.operators.sequence import Sequencer
 
 LOOK_BACK = max(max(config.ROLL_STEPS), max(config.LAG_STEPS), max(config.DELTA_STEPS))
@@ -51,19 +52,15 @@ def build_features(panel: DataFrame, seq: Sequencer, use_ema: bool = False, targ
     delta targets at the split without another window).
     """
     df = with_calendar(panel)
-    back = LOOK_BACK
-    if use_ema:
-        from dockcast.operators.ema import ema_lookback
-        back = max(back, ema_lookback())
+    blocked = use_ema and seq.resolve(df) != "key"
+    if blocked:
+        df = seq.with_blocks(df, lambda d, block, row: add_ema_blocked(d, seq, block, row))
 
     def build(d: DataFrame, w: Window) -> DataFrame:
         d = d.withColumns(_window_columns("occ", "occ", w, targets))
-        if use_ema:
-            from dockcast.operators.ema import add_ema_grouped
-            d = add_ema_grouped(d, seq, w)
-        return d
+        return add_ema_grouped(d, seq) if use_ema and not blocked else d
 
-    return seq.windowed(df, back, LOOK_AHEAD, build)
+    return seq.windowed(df, LOOK_BACK, LOOK_AHEAD, build)
 
 
 def build_bike_features(panel: DataFrame, seq: Sequencer) -> DataFrame:

@@ -29,10 +29,10 @@ def gap_report(panel: DataFrame, freq_min: int = config.FREQ_MIN) -> DataFrame:
 def missing_ticks(panel: DataFrame, freq_min: int = config.FREQ_MIN) -> DataFrame:
     """(station_id, tick) of every grid point without a reading, between a station's first and last tick."""
     t = panel.select("station_id", floor_ts("ts", freq_min * 60).alias("tick")).distinct()
-    days = t.select("station_id", floor_ts("tick", 86_400).alias("day")).distinct()
     bounds = t.groupBy("station_id").agg(F.min("tick").alias("_lo"), F.max("tick").alias("_hi"))
     step = F.expr(f"INTERVAL {freq_min} MINUTES")
     last = F.expr("INTERVAL 1 DAY") - step
-    grid = (days.join(bounds, "station_id")
+    day = F.explode(F.sequence(floor_ts("_lo", 86_400), floor_ts("_hi", 86_400), F.expr("INTERVAL 1 DAY")))
+    grid = (bounds.withColumn("day", day)                     # every day between, also those without any reading
                 .select("station_id", F.explode(F.sequence(F.greatest("day", "_lo"), F.least(F.col("day") + last, "_hi"), step)).alias("tick")))
     return grid.join(t, ["station_id", "tick"], "left_anti")

@@ -160,6 +160,11 @@ class Sequencer:
         return (df.withColumn(_HALO, F.explode(F.array_compact(F.array(*cands))))
                   .withColumn(BLK, t.getField("b")).withColumn(HOME, t.getField("home")).drop(_HALO))
 
+    def with_blocks(self, df: DataFrame, body: Callable[[DataFrame, str, str], DataFrame]) -> DataFrame:
+        """Run ``body(df, block, row)`` on numbered rows cut into blocks without halos; the row number stays."""
+        d = df if _G in df.columns else self.index(df)
+        return body(d.withColumn(BLK, F.floor(F.col(_G) / self.block_rows).cast("long")), BLK, _G).drop(BLK)
+
     # ------------------------------------------------------------- windows
     def windowed(self, df: DataFrame, back: int, ahead: int,
                  build: Callable[[DataFrame, "Window"], DataFrame], strategy: str | None = None) -> DataFrame:
@@ -191,14 +196,23 @@ class Sequencer:
         s = strategy or self.resolve(df)
         k = self.keys
 
+        def turned(w):
+            part = k if s == "key" else k + [CHUNK]
+            return Window.partitionBy(*part).orderBy(*[F.col(o).desc() for o in self.order])
+
         def filled(c, w, cin=None, cout=None):
             expr = F.col(c)
             if forward:
                 parts = [expr, F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))]
                 expr = F.coalesce(*(parts + ([F.col(cin)] if cin else [])))
             if backward:
-                parts = [expr, F.first(c, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))]
-                expr = F.coalesce(*(parts + ([F.col(cout)] if cout else [])))
+                # after the forward fill only rows before the first value are open: one value
+                # for the whole partition, where a frame that starts at each row is quadratic
+                if forward:
+                    ahead = F.first(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+                else:
+                    ahead = F.last(c, ignorenulls=True).over(turned(w).rowsBetween(Window.unboundedPreceding, 0))
+                expr = F.coalesce(*([expr, ahead] + ([F.col(cout)] if cout else [])))
             return expr
 
         if s == "key":
@@ -212,10 +226,11 @@ class Sequencer:
             aggs += [F.max_by(F.col(c), known).alias(f"_last{i}"), F.min_by(F.col(c), known).alias(f"_first{i}")]
         summ = d.groupBy(*k, CHUNK).agg(*aggs)
         wc = Window.partitionBy(*k).orderBy(CHUNK)
+        wd = Window.partitionBy(*k).orderBy(F.col(CHUNK).desc())
         carries = []
         for i in range(len(cols)):
             carries += [F.last(f"_last{i}", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_cin{i}"),
-                        F.first(f"_first{i}", ignorenulls=True).over(wc.rowsBetween(1, Window.unboundedFollowing)).alias(f"_cout{i}")]
+                        F.last(f"_first{i}", ignorenulls=True).over(wd.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_cout{i}")]
         carry = summ.select(*k, CHUNK, *carries)
         d = d.join(carry, on=k + [CHUNK], how="inner")
         w = Window.partitionBy(*k, CHUNK).orderBy(*self._order_cols())

@@ -22,8 +22,8 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
     T.StructField("capacity", T.DoubleType()), T.StructField("is_installed", T.IntegerType()),
     T.StructField("is_renting", T.IntegerType()), T.StructField("is_returning", T.IntegerType()),
-    T.StructField("last_reported", T.LongType()), T.StructField("num_bikes_available", T.IntegerType()),
-    T.StructField("num_docks_available", T.IntegerType()), T.StructField("snapshot_ts", T.TimestampNTZType())])
+    T.StructField("last_reported", T.LongType()), T.StructField("num_bikes_available", T.DoubleType()),
+    T.StructField("num_docks_available", T.DoubleType()), T.StructField("snapshot_ts", T.TimestampNTZType())])
 
 
 def read_snapshot_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType = SNAPSHOT_SCHEMA,
