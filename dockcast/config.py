@@ -28,6 +28,11 @@ BASE_FEATURES = (
 EMA_FEATURES = ("occ_ema_fast", "occ_ema_slow", "occ_momentum")
 STATION_FEATURES = ("sta_mean_occ", "sta_hdh_occ")
 WEATHER_FEATURES = WEATHER_COLS + ("is_rain",)
+# inputs of the bike-space baselines (ridge, one booster per horizon)
+BIKE_FEATURES = (
+    "hour_sin", "hour_cos", "dow", "capacity", "delta_5", "roll_mean_60",
+    "lag_5", "lag_10", "lag_15", "lag_30", "lag_60",
+)
 GBFS_KEEP = (
     "station_id", "name", "lat", "lon", "capacity",
     "is_installed", "is_renting", "is_returning", "last_reported",

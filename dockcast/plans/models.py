@@ -24,12 +24,10 @@ def reconstruct_bikes(occ_now: Column, gamma: Column, delta: Column, capacity: C
     return occ * capacity.cast("double")
 
 
-def validation_rows(clean: DataFrame, q: float = config.SPLIT_TRAINVAL, val: bool = True) -> DataFrame:
-    """Last (1-q) of train time (``ts > quantile_q``), or the rest when ``val=False``."""
-    cut = exact_quantile(clean, micros("ts"), q, out="_vcut", width=60_000_000.0).select("_vcut")
-    d = clean.crossJoin(F.broadcast(cut))
-    cond = micros("ts") > F.col("_vcut")
-    return d.where(cond if val else ~cond).drop("_vcut")
+def required_columns(features, *horizons: int) -> list[str]:
+    """Columns a row must have to train and score Δ models of these horizons, each once."""
+    targets = [c for h in horizons for c in (f"occ_{h}", f"occ_delta_target_{h}")]
+    return sorted({*features, *targets, "occ_now", "capacity"})
 
 
 def with_validation_flag(clean: DataFrame, q: float = config.SPLIT_TRAINVAL, col: str = "is_val") -> DataFrame:

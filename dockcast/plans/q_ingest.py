@@ -50,13 +50,15 @@ def gbfs_merge(c):
     return gbfs.keep_existing(gbfs.merge(gbfs.harmonise(status), info))
 
 
-@register("snapshot_panel", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")],
-          """WITH snaps AS (SELECT CAST(user_id AS VARCHAR) AS station_id, ts AS snapshot_ts,
+_PANEL_SQL = """WITH snaps AS (SELECT CAST(user_id AS VARCHAR) AS station_id, ts AS snapshot_ts,
                     CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS num_bikes_available,
                     CASE WHEN event_type = 'signup' THEN CAST(20 + user_id % 40 AS DOUBLE) END AS capacity FROM events)
              SELECT {out} FROM (SELECT station_id, make_timestamp(epoch_us(snapshot_ts) - epoch_us(snapshot_ts) % 300000000) AS ts,
                     arg_max({'b': CAST(num_bikes_available AS REAL), 'c': CAST(capacity AS REAL)}, snapshot_ts) AS r,
-                    count(*) AS n_snapshots FROM snaps GROUP BY ALL) x, LATERAL (SELECT x.r.b AS bikes_available, x.r.c AS capacity) y""")
+                    count(*) AS n_snapshots FROM snaps GROUP BY ALL) x, LATERAL (SELECT x.r.b AS bikes_available, x.r.c AS capacity) y"""
+
+
+@register("snapshot_panel", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")], _PANEL_SQL)
 def snapshot_panel(c):
     """Snapshots -> 5-minute panel (latest reading per station and tick); the batch twin of the stream."""
     return to_panel(_snapshots(c))
@@ -85,7 +87,12 @@ def _snapshots(c):
                     F.when(F.col("event_type") == "signup", (F.lit(20) + F.col("user_id") % 40).cast("double")).alias("capacity"))
 
 
-@register("snapshot_stream", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")])
+# ticks the watermark has closed: they end ten minutes before the newest reading
+_CLOSED = """ WHERE x.ts + INTERVAL 5 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES"""
+
+
+@register("snapshot_stream", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")],
+          _PANEL_SQL + _CLOSED)
 def snapshot_stream(c):
     """The 5-minute panel built by Structured Streaming: snapshots land as time-range files,
     the file-source stream (watermark 10 min) runs to completion with availableNow, and

@@ -8,7 +8,9 @@ so the whole catalog runs in minutes; the library default is the original
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast import config
@@ -19,8 +21,7 @@ from dockcast.plans.q_panel import MODEL_FEATURES, _clean_cols
 
 MAX_ITER = 8
 H = config.HORIZONS
-BIKE_X = ["hour_sin", "hour_cos", "dow", "capacity", "delta_5", "roll_mean_60",
-          "lag_5", "lag_10", "lag_15", "lag_30", "lag_60"]
+BIKE_X = list(config.BIKE_FEATURES)
 
 
 def _split_clean(c, h):
@@ -41,20 +42,21 @@ def gbt_delta(c):
 
     with ThreadPoolExecutor(max_workers=len(H)) as pool:               # independent fits, concurrent jobs
         res = list(pool.map(one, H))
-    rows = [(h, float(r["mae_model"] or 0.0), int(r["n_test"]), r["best_iter"], r["gamma"]) for h, r in zip(H, res)]
+    rows = [(h, r["mae_model"], int(r["n_test"]), r["best_iter"], r["gamma"]) for h, r in zip(H, res)]
     return c.spark.createDataFrame(rows, "horizon_min int, mae_model double, n_test long, best_iter int, gamma double")
 
 
 @register("gbt_occ", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l")])
 def gbt_occ(c):
-    """Direct occupancy GBT (squared loss) at 30 minutes, prediction clipped to [0, 1]."""
-    h = 30
-    tr, te = _split_clean(c, h)
-    m = models.fit_occ(tr, MODEL_FEATURES, h, MAX_ITER)
-    p = m.transform(models.assemble(te, MODEL_FEATURES))
-    y_hat = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)) * F.col("capacity").cast("double")
-    err = F.abs((F.col(f"occ_{h}") * F.col("capacity")).cast("double") - y_hat)
-    return p.agg(F.lit(h).alias("horizon_min"), F.avg(err).alias("mae_model"), F.count(F.lit(1)).alias("n_test"))
+    """Direct occupancy GBT (squared loss) per horizon, prediction clipped to [0, 1]."""
+    parts = []
+    for h in H:
+        tr, te = _split_clean(c, h)
+        p = models.fit_occ(tr, MODEL_FEATURES, h, MAX_ITER).transform(models.assemble(te, MODEL_FEATURES))
+        y_hat = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)) * F.col("capacity").cast("double")
+        err = F.abs((F.col(f"occ_{h}") * F.col("capacity")).cast("double") - y_hat)
+        parts.append(p.agg(F.lit(h).alias("horizon_min"), F.avg(err).alias("mae_model"), F.count(F.lit(1)).alias("n_test")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _bike_frames(c):
@@ -99,13 +101,13 @@ def gbt_multi(c):
 
 @register("score_batch", KEYS + [(f"pred_bikes_{h}", "q") for h in H])
 def score_batch(c):
-    """Every test feature row scored by the three Δ models (forecasts in bikes)."""
-    fitted = {}
+    """Every test feature row scored by the three Δ models with their calibrated gammas (forecasts in bikes)."""
+    fitted, gammas = {}, {}
     for h in H:
-        tr, _ = _split_clean(c, h)
-        fitted[h] = models.fit_delta(tr, MODEL_FEATURES, h, MAX_ITER)
+        done = models.train_delta_gamma(*_split_clean(c, h), MODEL_FEATURES, h, MAX_ITER)
+        fitted[h], gammas[str(h)] = done["model"], done["gamma"]
     te = c.labelled_stored.where(~F.col("is_train")).dropna(subset=MODEL_FEATURES)
-    return models.score_batch(te, fitted, MODEL_FEATURES, {})
+    return models.score_batch(te, fitted, MODEL_FEATURES, gammas)
 
 
 @register("feature_importance", [("rank", "i"), ("feature", "s"), ("importance", "q")])

@@ -136,12 +136,14 @@ def score_requests(c):
     return scoring.predict(al, STAND_IN, GAMMAS, requested="horizons")
 
 
-@register("score_nested", RKEYS + [("predictions", "s")])
+@register("score_nested", RKEYS + [("horizon_min", "i"), ("predicted_bikes", "q"), ("delta_model", "q")],
+          with_(REQ_SQL, HF_SQL, WEATHER_HOURLY, WFILL, CW_SQL, AL_SQL, _SCORE_SQL) + "SELECT {out} FROM sr")
 def score_nested(c):
-    """The service's nested answer: map horizon -> {predicted_bikes, delta_model}, as JSON text."""
+    """The service's nested answer (a map horizon -> {predicted_bikes, delta_model} per request), read entry by entry."""
     al = _with_requested(scoring.align(_requests_features(c)), c)
-    return scoring.predict(al, STAND_IN, GAMMAS, requested="horizons", long=False) \
-                  .withColumn("predictions", F.to_json("predictions"))
+    nested = scoring.predict(al, STAND_IN, GAMMAS, requested="horizons", long=False)
+    entry = F.explode("predictions").alias("horizon_min", "answer")
+    return nested.select("station_id", "ts", entry).select("station_id", "ts", F.col("horizon_min").cast("int").alias("horizon_min"), "answer.*")
 
 
 _RECON_G = 0.7

@@ -12,11 +12,6 @@ W = "PARTITION BY station_id ORDER BY ts, event_id"
 SCALE = "CAST(1048576 AS DOUBLE)"
 
 
-def q(x: str) -> str:
-    """Same 2**-20 rounding as ``functions.columns.quantize``."""
-    return f"floor(CAST({x} AS DOUBLE) * {SCALE} + CAST(0.5 AS DOUBLE)) / {SCALE}"
-
-
 STATION_TS = """station_ts AS (
   SELECT CAST(user_id AS VARCHAR) AS station_id, ts, event_id,
          CAST(CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS REAL) AS bikes_available,
@@ -69,7 +64,6 @@ FEAT = f"""feat AS (
     {_window_sql('occ', 'occ')}
   FROM (SELECT *, {calendar_sql()} FROM panel) p)"""
 
-CUT = """cut AS (SELECT count(*) AS n_rows, floor(quantile_cont(epoch_us(ts), {q})) AS cut_us FROM {src})"""
 
 
 def with_(*ctes: str) -> str:

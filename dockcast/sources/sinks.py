@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dockcast.operators.dims import materialise
+
 FORMATS = ("csv", "parquet")
 
 
@@ -18,6 +20,7 @@ def write_snapshots(df: DataFrame, outdir: str, fmt: str = "parquet", latest: bo
         fmt = "parquet"
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format {fmt!r} (csv|parquet)")
+    df = materialise(df)                                   # history and latest show the same rows and stamps
     d = df.withColumn("snapshot_date", F.to_date("snapshot_ts"))
     w = d.write.mode("append").partitionBy("snapshot_date")
     (w.option("header", True).csv if fmt == "csv" else w.parquet)(f"{outdir}/snapshots")

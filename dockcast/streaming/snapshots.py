@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from dockcast import config
 from dockcast.functions.columns import from_micros, micros
-from dockcast.operators.dims import materialise
 from dockcast.sources.sinks import latest_per_station
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -63,20 +62,37 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
     return w.start()
 
 
+def _versions(spark: SparkSession, out: str) -> list[int]:
+    """Numbers of the finished versions of a ``latest`` table, in order."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith("version=")]
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jpath(p, "_SUCCESS")))
+
+
+def read_latest(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
+    """The newest finished version of a ``latest`` table (older than ``before``); None if there is none."""
+    done = [v for v in _versions(spark, out) if before is None or v < before]
+    return spark.read.parquet(f"{out}/version={done[-1]}") if done else None
+
+
 def start_latest(spark: SparkSession, landing: str, out: str, checkpoint: str, fmt: str = "parquet",
                  available_now: bool = False):
-    """Keep a ``latest`` table: each micro-batch merges its newest row per station
-    into the previous state and overwrites it (foreachBatch)."""
+    """Keep a ``latest`` table: each micro-batch merges its newest row per station into the version
+    before and writes a version of its own (foreachBatch).
+
+    A version counts once it is finished, so a crash loses nothing and a repeated batch
+    writes the same version again; a read error fails the batch.  Read it with ``read_latest``.
+    """
     def merge(batch: DataFrame, epoch: int) -> None:
-        spark_ = batch.sparkSession
         fresh = latest_per_station(batch)
-        try:
-            old = spark_.read.parquet(out)
+        old = read_latest(batch.sparkSession, out, before=epoch)
+        if old is not None:
             fresh = latest_per_station(old.unionByName(fresh))
-        except Exception:  # first batch: no table yet
-            pass
-        # store first: the result must not read the table it is about to overwrite
-        materialise(fresh).write.mode("overwrite").parquet(out)
+        fresh.write.mode("overwrite").parquet(f"{out}/version={epoch}")
 
     s = read_snapshot_stream(spark, landing, fmt)
     w = s.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -1,4 +1,4 @@
-"""Plain-pandas versions of the panel operators (our own reference for tests)."""
+"""Small frames and plain loops that tests compare with."""
 
 from __future__ import annotations
 
@@ -17,21 +17,27 @@ def make_panel(spark, rows):
         data, "station_id string, ts timestamp_ntz, bikes_available float, capacity float, event_id long")
 
 
-def pandas_features(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Lags / rolling / deltas / targets exactly as the original pandas code."""
-    f = pdf.sort_values(["station_id", "ts", "event_id"]).reset_index(drop=True)
-    g = f.groupby("station_id")["occ"]
-    out = f.copy()
-    for k in (1, 2, 3, 6, 12):
-        out[f"occ_lag_{k * 5}"] = g.shift(k).astype("float32")
-    shifted = g.shift(1)
-    for k in (3, 6, 12, 24, 36):                      # ungrouped rolling, as the original
-        out[f"occ_roll_{k * 5}"] = shifted.rolling(k).mean().astype("float32")
-    for k in (1, 3, 6, 12):
-        out[f"occ_delta_{k * 5}"] = (f["occ"] - g.shift(k)).astype("float32")
-    for h in (15, 30, 60):
-        out[f"occ_{h}"] = g.shift(-(h // 5)).astype("float32")
-    return out
+def looped_features(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Lags, means of previous rows, deltas and targets from their definitions, station by station and row by row."""
+    out = pdf.sort_values(["station_id", "ts", "event_id"]).reset_index(drop=True)
+    names = ([f"occ_lag_{5 * k}" for k in (1, 2, 3, 6, 12)] + [f"occ_roll_{5 * k}" for k in (3, 6, 12, 24, 36)]
+             + [f"occ_delta_{5 * k}" for k in (1, 3, 6, 12)] + [f"occ_{5 * k}" for k in (3, 6, 12)])
+    columns: dict[str, list[float]] = {c: [] for c in names}           # present for a frame without rows too
+    for _, part in out.groupby("station_id", sort=False):
+        x = part["occ"].to_numpy(dtype="float64")
+
+        def at(i, x=x):
+            return x[i] if 0 <= i < len(x) else np.nan
+        for i in range(len(x)):
+            row = {f"occ_lag_{5 * k}": at(i - k) for k in (1, 2, 3, 6, 12)}
+            for k in (3, 6, 12, 24, 36):
+                before = [at(j) for j in range(i - k, i)]
+                row[f"occ_roll_{5 * k}"] = float(np.sum(before)) / k
+            row |= {f"occ_delta_{5 * k}": x[i] - at(i - k) for k in (1, 3, 6, 12)}
+            row |= {f"occ_{5 * k}": at(i + k) for k in (3, 6, 12)}
+            for c, v in row.items():
+                columns[c].append(v)
+    return out.assign(**columns)
 
 
 def close(a, b, tol=1e-6):

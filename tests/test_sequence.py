@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from dockcast.operators import features, panel
 from dockcast.operators.sequence import Sequencer
-from tests.helpers import close, make_panel, pandas_features
+from tests.helpers import close, make_panel, looped_features
 
 FEATS = ([f"occ_lag_{k}" for k in (5, 10, 15, 30, 60)] + [f"occ_roll_{k}" for k in (15, 30, 60, 120, 180)]
          + [f"occ_delta_{k}" for k in (5, 15, 30, 60)] + ["occ_15", "occ_30", "occ_60"])
@@ -38,7 +38,7 @@ def test_features_match_pandas_and_plans_agree(spark, rows):
     assert len(key) == len(blocked)
     for c in FEATS + ["occ", "capacity"]:
         assert close(key[c], blocked[c]), c
-    ref = pandas_features(key[["station_id", "ts", "event_id", "occ"]])
+    ref = looped_features(key[["station_id", "ts", "event_id", "occ"]])
     for c in FEATS:
         assert close(key[c], ref[c]), c
 
