@@ -92,3 +92,7 @@ class Ctx:
     @cached_property
     def requests(self) -> DataFrame:
         return fx.score_requests_in(self.spark, self.sf)
+
+    @cached_property
+    def long_requests(self) -> DataFrame:
+        return fx.score_requests_in(self.spark, self.sf, long_history=True)

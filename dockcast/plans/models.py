@@ -127,7 +127,7 @@ def score_batch(frame: DataFrame, models: dict, feat_cols, gammas: dict) -> Data
     """Every horizon's forecast in bikes for each feature row (models applied in turn)."""
     d = assemble(frame, feat_cols)
     for h, m in models.items():
-        d = m.setPredictionCol(f"delta_{h}").transform(d)
+        d = m.copy().setPredictionCol(f"delta_{h}").transform(d)
         d = d.withColumn(f"pred_bikes_{h}", reconstruct_bikes(F.col("occ_now"), F.lit(float(gammas.get(str(h), 1.0) or 1.0)),
                                                               F.col(f"delta_{h}"), F.col("capacity")))
     return d.drop("features")

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from dockcast import config
 from dockcast.operators import features, split
-from dockcast.plans import experiment, models
+from dockcast.plans import artifacts, experiment, models, scoring
 from dockcast.plans.catalog import KEYS, register
 from dockcast.plans.q_panel import MODEL_FEATURES, _clean_cols
+from dockcast.session import table_folder
 
 MAX_ITER = 8
 H = config.HORIZONS
@@ -123,3 +124,12 @@ def feature_importance(c):
 def experiment_q(c):
     """The whole training run with weather, as the stored artifacts were produced."""
     return experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly, max_iter=MAX_ITER)
+
+
+@register("score_requests_models", [("station_id", "s"), ("ts", "t"), ("horizon_min", "i"), ("predicted_bikes", "q"), ("delta_model", "q")])
+def score_requests_models(c):
+    """Every request scored by the models of a training run that was saved and loaded again."""
+    folder = table_folder(c.spark)
+    experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly, max_iter=MAX_ITER, out_dir=folder)
+    return artifacts.score_requests(c.long_requests, artifacts.load_artifacts(c.spark, folder),
+                                    scoring.current_weather(c.weather_hourly))

@@ -68,15 +68,53 @@ AL_SQL = "al AS (SELECT station_id, ts, bikes_available, capacity AS capacity_in
 
 
 def _requests_features(c):
-    req = scoring.history_features(c.requests)
+    req = scoring.history_features(c.requests, "compat")
     return scoring.with_weather(req, scoring.current_weather(c.weather_hourly))
 
 
 @register("history_features", RKEYS + [(x, "q") for x in HIST_COLS],
           with_(REQ_SQL, HF_SQL) + "SELECT {out} FROM hf")
 def history_features(c):
-    """Serving-time lags / rolling means / deltas from each request's history array."""
-    return scoring.history_features(c.requests)
+    """Lags / rolling means / deltas from each request's history array, as the original service builds them."""
+    return scoring.history_features(c.requests, "compat")
+
+
+LONG_REQ_SQL = """req AS (
+  SELECT CAST(user_id AS VARCHAR) AS station_id, CAST(COALESCE(bikes, 0) AS DOUBLE) AS bikes_available,
+         CASE WHEN user_id % 50 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(20 + user_id % 40 AS DOUBLE) END AS capacity, ts,
+         CASE WHEN user_id % 17 = 0 THEN NULL
+              ELSE list_slice(h, greatest(len(h) - greatest(36 - user_id % 14 * 3, 0) + 1, 1), len(h)) END AS history_5min
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r,
+               list(bikes) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 36 PRECEDING AND 1 PRECEDING) AS h
+        FROM (SELECT *, CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS bikes FROM events) e) x
+  WHERE r = 1)"""
+
+
+def _consistent_sql() -> str:
+    occ = ("CASE WHEN capacity > 0 AND {v} IS NOT NULL "
+           "THEN LEAST(GREATEST({v} / capacity, CAST(0 AS DOUBLE)), CAST(1 AS DOUBLE)) END")
+    lag = {k: f"CASE WHEN len(ho) >= {k} THEN ho[-{k}] END" for k in config.LAG_STEPS}
+    cols = [f"{v} AS occ_lag_{k * config.FREQ_MIN}" for k, v in lag.items()]
+    for k in config.ROLL_STEPS:
+        tail = f"list_slice(ho, len(ho) - {k} + 1, len(ho))"
+        cols.append(f"CASE WHEN len(ho) >= {k} AND len(list_filter({tail}, lambda v: v IS NULL)) = 0 "
+                    f"THEN list_sum({tail}) / {k} END AS occ_roll_{k * config.FREQ_MIN}")
+    cols += [f"occ_now - ({lag[k]}) AS occ_delta_{k * config.FREQ_MIN}" for k in config.DELTA_STEPS]
+    inner = (f"SELECT *, {occ.format(v='bikes_available')} AS occ_now, list_transform(COALESCE(history_5min, CAST([] AS DOUBLE[])), "
+             f"lambda v: {occ.format(v='v')}) AS ho FROM req")
+    return f"hf AS (SELECT *, {', '.join(cols)} FROM ({inner}) x)"
+
+
+_CONSISTENT = (["occ_now"] + [f"occ_lag_{k * config.FREQ_MIN}" for k in config.LAG_STEPS]
+               + [f"occ_roll_{k * config.FREQ_MIN}" for k in config.ROLL_STEPS]
+               + [f"occ_delta_{k * config.FREQ_MIN}" for k in config.DELTA_STEPS])
+
+
+@register("history_features_consistent", RKEYS + [(x, "q") for x in _CONSISTENT],
+          with_(LONG_REQ_SQL, _consistent_sql()) + "SELECT {out} FROM hf")
+def history_features_consistent(c):
+    """The training definitions from histories of up to 36 readings; an unknown reading leaves its windows null."""
+    return scoring.history_features(c.long_requests)
 
 
 @register("request_weather", RKEYS + [(x, "q") for x in config.WEATHER_COLS] + [("is_rain", "i")],

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockcast import config
-from dockcast.functions.columns import calendar_columns, clip, delta_to_bikes, gamma_for, rain_flag
+from dockcast.functions.columns import calendar_columns, clip, clip01, delta_to_bikes, gamma_for, rain_flag
 from dockcast.operators.weather import fill_hourly
 
 STORED_FEATURES = config.feature_list(use_ema=False, use_sta=False, use_weather=True)
@@ -23,11 +23,16 @@ def _occ_of(x: Column, cap: Column) -> Column:
     return F.when(cap > 0, F.coalesce(F.least(F.greatest(x / cap, F.lit(0.0)), F.lit(1.0)), F.lit(0.0))).otherwise(F.lit(0.0))
 
 
+def _occ_known(x: Column, cap: Column) -> Column:
+    """Training occupancy: null bikes or no positive capacity stay null."""
+    return F.when(cap > 0, clip01(x / cap))
+
+
 def _mean(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda a, x: a + x) / F.size(arr)
 
 
-def history_features(req: DataFrame, mode: str = "compat") -> DataFrame:
+def history_features(req: DataFrame, mode: str = "consistent") -> DataFrame:
     """Lag, rolling and delta features of a request from its history array.
 
     ``compat``: as the original service — at most the last 12 values, a
@@ -35,14 +40,16 @@ def history_features(req: DataFrame, mode: str = "compat") -> DataFrame:
     rolling means use whatever is there (so 120/180 equal 60), and the
     12 h harmonics and 15/30 rolling means are not built (0.0 after align).
     ``consistent``: the training definitions — up to 36 values, every lag or
-    rolling mean null unless its full history is present, all features built.
+    rolling mean null unless its full history is present and known, all
+    features built; null readings stay null.
     """
     cap = F.col("capacity").cast("double")
-    occ_now = _occ_of(F.col("bikes_available").cast("double"), cap)
+    occ_of = _occ_of if mode == "compat" else _occ_known
+    occ_now = occ_of(F.col("bikes_available").cast("double"), cap)
     hist = F.coalesce(F.col("history_5min"), F.array().cast("array<double>"))
     keep = 12 if mode == "compat" else max(config.ROLL_STEPS)
     last = F.slice(hist, F.greatest(F.lit(1), F.size(hist) - (keep - 1)), keep)
-    d = req.withColumns({"occ_now": occ_now, "_ho": F.transform(last, lambda v: _occ_of(v, cap))})
+    d = req.withColumns({"occ_now": occ_now, "_ho": F.transform(last, lambda v: occ_of(v, cap))})
     ho, n, now = F.col("_ho"), F.size("_ho"), F.col("occ_now")
     cols = {}
     lags = {k: (F.when(n >= k, F.element_at(ho, -k)).otherwise(now) if mode == "compat"

@@ -80,12 +80,14 @@ def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k != 0, docks + 2).alias("numDocksAvailable"))
 
 
-def score_requests_in(spark: SparkSession, sf_dir: str, seq: Sequencer | None = None) -> DataFrame:
+def score_requests_in(spark: SparkSession, sf_dir: str, seq: Sequencer | None = None, long_history: bool = False) -> DataFrame:
     """Latest event per station as a scoring request with its history array.
 
-    Runs on the bounded ``Sequencer`` windows (13 rows back, 1 ahead), so a
-    station with a huge history is still split into bounded tasks.
+    Histories hold up to 13 known values, or with ``long_history`` up to 36 readings of
+    which some are null.  Runs on the bounded ``Sequencer`` windows (13 or 36 rows back,
+    1 ahead), so a station with a huge history is still split into bounded tasks.
     """
+    back = 36 if long_history else 13
     seq = seq or Sequencer(key="user_id", order=PANEL_ORDER,
                            strategy=spark.conf.get("dockcast.sequence.strategy", "auto"),
                            block_rows=int(spark.conf.get("dockcast.sequence.strategy.blockRows", "4096")))
@@ -94,14 +96,15 @@ def score_requests_in(spark: SparkSession, sf_dir: str, seq: Sequencer | None =
 
     def build(d, w):
         return d.withColumns({
-            "_h": F.collect_list("bikes").over(w.rowsBetween(-13, -1)),   # nulls skipped
+            "_h": (F.transform(F.collect_list(F.struct("bikes")).over(w.rowsBetween(-back, -1)), lambda r: r["bikes"])
+                   if long_history else F.collect_list("bikes").over(w.rowsBetween(-back, -1))),   # the latter skips nulls
             "_last": F.lead("ts", 1).over(w).isNull()})
 
     u = F.col("user_id")
-    n = u % 14
+    n = (F.greatest(F.lit(0), F.lit(36) - u % 14 * 3) if long_history else u % 14).cast("int")
     last_n = F.when(n == 0, F.array().cast("array<double>")).otherwise(
         F.slice(F.col("_h"), F.greatest(F.lit(1), F.size("_h") - n + 1), n))
-    return (seq.windowed(e, 13, 1, build)
+    return (seq.windowed(e, back, 1, build)
               .where("_last")
               .select(u.cast("string").alias("station_id"),
                       F.coalesce(F.col("bikes"), F.lit(0.0)).alias("bikes_available"),

@@ -7,7 +7,7 @@ import pytest
 
 SF = "/root/testdata/sf0.001"
 FAST = ["panel_scan", "capacity_clean", "occupancy", "occ_features", "delta_targets", "station_encodings",
-        "add_weather", "weather_asof", "mae_naive", "mae_seasonal", "occ_ema", "history_features",
+        "add_weather", "weather_asof", "mae_naive", "mae_seasonal", "occ_ema", "history_features", "history_features_consistent",
         "score_requests", "gbfs_merge", "snapshot_panel", "null_rates", "temporal_cut"]
 
 

@@ -14,7 +14,7 @@ def _req(spark):
 
 
 def test_history_lengths_compat(spark):
-    got = {r.station_id: r for r in scoring.history_features(_req(spark)).collect()}
+    got = {r.station_id: r for r in scoring.history_features(_req(spark), mode="compat").collect()}
     assert got["0"].occ_lag_5 == 0.5 and got["0"].occ_roll_60 == 0.5           # empty -> occ_now
     assert got["5"].occ_lag_5 == 0.5                                           # null history
     assert got["1"].occ_lag_5 == 0.5 and got["1"].occ_lag_10 == 0.5
@@ -29,6 +29,16 @@ def test_history_consistent_needs_full_windows(spark):
     assert got["4"].occ_roll_120 is None and got["3"].occ_roll_60 is not None
 
 
+def test_history_consistent_keeps_unknown_readings(spark):
+    ts = dt.datetime(2024, 1, 1, 12)
+    rows = [("gap", 5.0, 10.0, ts, [1.0, None, 3.0, 4.0]), ("none", None, 10.0, ts, [1.0]), ("cap0", 5.0, 0.0, ts, [1.0])]
+    req = spark.createDataFrame(rows, "station_id string, bikes_available double, capacity double, ts timestamp_ntz, history_5min array<double>")
+    got = {r.station_id: r for r in scoring.history_features(req).collect()}
+    assert got["gap"].occ_lag_15 is None and got["gap"].occ_roll_15 is None and got["gap"].occ_lag_5 == 0.4
+    assert got["none"].occ_now is None and got["none"].occ_delta_5 is None and got["none"].occ_lag_5 == 0.1
+    assert got["cap0"].occ_now is None and got["cap0"].occ_lag_5 is None
+
+
 def test_gamma_tie_first_in_grid_wins(spark):
     val = spark.createDataFrame([(15, 0.5, 0.0, 10.0, 0.5)] * 4, "horizon_min int, occ_now double, delta double, capacity double, y_occ double")
     best = models.calibrate_gamma(val).where("is_best").collect()
