@@ -40,15 +40,13 @@ GBFS_KEEP = (
 )
 GBFS_ALIASES = (("num_bikes_available", "numBikesAvailable"),
                 ("num_docks_available", "numDocksAvailable"))
-# boosted-tree settings of the delta model (learning rate, row/feature
-# sampling, minimum leaf size, seed, round budget)
-GBT_STEP_SIZE = 0.08
-GBT_SUBSAMPLING = 0.8
-GBT_FEATURE_SUBSET = "0.85"
-GBT_MIN_INSTANCES = 64
+# boosted-tree settings: loss, validation metric, round budget, rounds without a lower
+# validation error before stopping, learning rate, row and column share, minimum leaf rows
+GBT_DELTA = dict(loss="absolute", metric="absolute", rounds=800, patience=50, step=0.08, rows=0.8, columns="0.85", leaf=64)
+GBT_OCC = dict(loss="squared", metric="absolute", rounds=2000, patience=80, step=0.05, rows=0.8, columns="0.9", leaf=20)
+GBT_BIKES = dict(loss="squared", metric="squared", rounds=400, patience=10, step=0.08, rows=1.0, columns="all", leaf=20)
 GBT_MAX_DEPTH = 6
 GBT_SEED = 42
-GBT_MAX_ROUNDS = 800
 # ---------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dockcast import config
 from dockcast.functions.columns import micros
+from dockcast.operators.dims import materialise
 from dockcast.operators.quantile import exact_quantile
 
 
@@ -59,23 +60,54 @@ def assemble(df: DataFrame, feat_cols, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(feat_cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def gbt(loss: str = "absolute", max_iter: int = config.GBT_MAX_ROUNDS, label: str = "label",
-        validation: str | None = "is_val", tol: float = 1e-4) -> GBTRegressor:
-    """Boosted trees with the original's learning rate, row/feature sampling,
-    minimum leaf size and seed; early stopping on the validation flag."""
-    kw = dict(labelCol=label, featuresCol="features", lossType=loss, maxIter=max_iter,
-              stepSize=config.GBT_STEP_SIZE, subsamplingRate=config.GBT_SUBSAMPLING,
-              featureSubsetStrategy=config.GBT_FEATURE_SUBSET, minInstancesPerNode=config.GBT_MIN_INSTANCES,
-              maxDepth=config.GBT_MAX_DEPTH, seed=config.GBT_SEED)
-    if validation:
-        kw.update(validationIndicatorCol=validation, validationTol=tol)
-    return GBTRegressor(**kw)
+def gbt(settings: dict, max_iter: int | None = None) -> GBTRegressor:
+    """Boosted trees on ``features`` / ``label`` with one of the settings of ``config``."""
+    return GBTRegressor(labelCol="label", featuresCol="features", lossType=settings["loss"],
+                        maxIter=max_iter or settings["rounds"], stepSize=settings["step"],
+                        subsamplingRate=settings["rows"], featureSubsetStrategy=settings["columns"],
+                        minInstancesPerNode=settings["leaf"], maxDepth=config.GBT_MAX_DEPTH, seed=config.GBT_SEED)
 
 
-def fit_delta(train_clean: DataFrame, feat_cols, h: int, max_iter: int = config.GBT_MAX_ROUNDS) -> GBTRegressionModel:
+def fit_patient(data: DataFrame, feat_cols, settings: dict, max_iter: int | None = None) -> tuple[GBTRegressionModel, int]:
+    """The model of the best round on the validation rows, and that round.
+
+    ``data`` has the feature columns, ``label`` (known) and ``is_val``.  Boosting ends
+    ``patience`` rounds after the best one.  MLlib cannot go on from a model, but its round m
+    draws with seed + m whatever the budget, so budgets of patience + 14 rounds, twice that and
+    so on up to the full one find the same best round as one long run.  Without validation
+    rows the whole budget is kept.
+    """
+    d = materialise(assemble(data, feat_cols).select("features", "label", "is_val"))      # read by every round
+    train, val = d.where(~F.col("is_val")), d.where("is_val")
+    est = gbt(settings, max_iter)
+    budget, patience = est.getMaxIter(), settings["patience"]
+    if val.isEmpty():
+        return est.fit(train), budget
+    n = min(patience + 14, budget)
+    while True:
+        model = est.copy({est.maxIter: n}).fit(train)
+        best = stopped_round(model.evaluateEachIteration(val, settings["metric"]), patience)
+        if n >= budget or best + patience <= n:
+            break
+        n = min(2 * n, budget)
+    return (model if best == n else est.copy({est.maxIter: best}).fit(train)), best
+
+
+def stopped_round(errors: list[float], patience: int) -> int:
+    """1-based best round seen before ``patience`` rounds went by without a lower error (first of equals)."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_delta(train_clean: DataFrame, feat_cols, h: int, max_iter: int | None = None) -> GBTRegressionModel:
     """Δ-occupancy model for horizon h (L1 loss), early-stopped on the last 15% of train time."""
     d = with_validation_flag(train_clean).withColumn("label", F.col(f"occ_delta_target_{h}").cast("double"))
-    return gbt("absolute", max_iter).fit(assemble(d, feat_cols))
+    return fit_patient(d, feat_cols, config.GBT_DELTA, max_iter)[0]
 
 
 def mae_bikes_of_delta(model, frame: DataFrame, feat_cols, h: int, gamma: float = 1.0) -> DataFrame:
@@ -86,11 +118,11 @@ def mae_bikes_of_delta(model, frame: DataFrame, feat_cols, h: int, gamma: float
 
 
 def train_delta_gamma(train_clean: DataFrame, test_clean: DataFrame, feat_cols, h: int,
-                      max_iter: int = config.GBT_MAX_ROUNDS) -> dict:
+                      max_iter: int | None = None) -> dict:
     """Fit, calibrate gamma on validation, score test: the per-horizon training step."""
-    flagged = with_validation_flag(train_clean)            # one validation cut for fit and calibration
+    flagged = materialise(with_validation_flag(train_clean).select(*required_columns(feat_cols, h), "is_val"))   # for fit and calibration
     d = flagged.withColumn("label", F.col(f"occ_delta_target_{h}").cast("double"))
-    model = gbt("absolute", max_iter).fit(assemble(d, feat_cols))
+    model, best_iter = fit_patient(d, feat_cols, config.GBT_DELTA, max_iter)
     val = flagged.where("is_val")
     scored = model.transform(assemble(val, feat_cols)).select(
         F.lit(h).alias("horizon_min"), "occ_now", F.col("prediction").alias("delta"), "capacity",
@@ -99,13 +131,19 @@ def train_delta_gamma(train_clean: DataFrame, test_clean: DataFrame, feat_cols,
     gamma = float(cal[0]["gamma"]) if cal else 1.0
     m = mae_bikes_of_delta(model, test_clean, feat_cols, h, gamma).collect()[0]
     return {"horizon_min": h, "mae_model": m["mae_model"], "n_test": m["n_rows"],
-            "best_iter": int(model.getNumTrees), "gamma": gamma, "model": model}
+            "best_iter": best_iter, "gamma": gamma, "model": model}
 
 
-def fit_occ(train_clean: DataFrame, feat_cols, h: int, max_iter: int) -> GBTRegressionModel:
-    """Direct occupancy model (squared loss); predictions are clipped to [0, 1] when scored."""
+def fit_occ(train_clean: DataFrame, feat_cols, h: int, max_iter: int | None = None) -> GBTRegressionModel:
+    """Direct occupancy model (squared loss, stopped by absolute error); predictions are clipped to [0, 1] when scored."""
     d = with_validation_flag(train_clean).withColumn("label", F.col(f"occ_{h}").cast("double"))
-    return gbt("squared", max_iter).fit(assemble(d, feat_cols))
+    return fit_patient(d, feat_cols, config.GBT_OCC, max_iter)[0]
+
+
+def fit_bikes(train: DataFrame, feat_cols, label: str, key=("station_id", "ts")) -> GBTRegressionModel:
+    """Bike-space booster of one horizon, stopped on a tenth of the rows chosen by a hash of their key."""
+    d = train.withColumns({"label": F.col(label).cast("double"), "is_val": F.pmod(F.xxhash64(*key), F.lit(10)) == 0})
+    return fit_patient(d, feat_cols, config.GBT_BIKES)[0]
 
 
 def fit_ridge(train: DataFrame, feat_cols, label: str, alpha: float = 1.0):

@@ -1,9 +1,4 @@
-"""Model queries (rows-only: learners have no SQL form).
-
-Boosting budgets are kept small in these registered queries (``MAX_ITER``)
-so the whole catalog runs in minutes; the library default is the original
-800-round budget with early stopping.
-"""
+"""Model queries (rows-only: learners have no SQL form), with the full round budgets and patience of ``config``."""
 
 from __future__ import annotations
 
@@ -20,7 +15,6 @@ from dockcast.plans.catalog import KEYS, register
 from dockcast.plans.q_panel import MODEL_FEATURES, _clean_cols
 from dockcast.session import table_folder
 
-MAX_ITER = 8
 H = config.HORIZONS
 BIKE_X = list(config.BIKE_FEATURES)
 
@@ -31,18 +25,17 @@ def _split_clean(c, h):
             frame.where(~F.col("is_train")).dropna(subset=_clean_cols(h)))
 
 
+def _per_horizon(fit, c) -> list:
+    """One result per horizon; the fits are independent, so their jobs run side by side."""
+    c.labelled_stored                                                  # stored once, before the threads start
+    with ThreadPoolExecutor(max_workers=len(H)) as pool:
+        return list(pool.map(fit, H))
+
+
 @register("gbt_delta", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l"), ("best_iter", "i"), ("gamma", "q")])
 def gbt_delta(c):
     """Δ-occupancy GBT (L1) per horizon, early-stopped, gamma-calibrated, scored on test."""
-    frame = c.labelled_stored
-
-    def one(h):
-        tr = frame.where("is_train").dropna(subset=_clean_cols(h))
-        te = frame.where(~F.col("is_train")).dropna(subset=_clean_cols(h))
-        return models.train_delta_gamma(tr, te, MODEL_FEATURES, h, MAX_ITER)
-
-    with ThreadPoolExecutor(max_workers=len(H)) as pool:               # independent fits, concurrent jobs
-        res = list(pool.map(one, H))
+    res = _per_horizon(lambda h: models.train_delta_gamma(*_split_clean(c, h), MODEL_FEATURES, h), c)
     rows = [(h, r["mae_model"], int(r["n_test"]), r["best_iter"], r["gamma"]) for h, r in zip(H, res)]
     return c.spark.createDataFrame(rows, "horizon_min int, mae_model double, n_test long, best_iter int, gamma double")
 
@@ -50,10 +43,10 @@ def gbt_delta(c):
 @register("gbt_occ", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l")])
 def gbt_occ(c):
     """Direct occupancy GBT (squared loss) per horizon, prediction clipped to [0, 1]."""
+    fitted = _per_horizon(lambda h: models.fit_occ(_split_clean(c, h)[0], MODEL_FEATURES, h), c)
     parts = []
-    for h in H:
-        tr, te = _split_clean(c, h)
-        p = models.fit_occ(tr, MODEL_FEATURES, h, MAX_ITER).transform(models.assemble(te, MODEL_FEATURES))
+    for h, m in zip(H, fitted):
+        p = m.transform(models.assemble(_split_clean(c, h)[1], MODEL_FEATURES))
         y_hat = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)) * F.col("capacity").cast("double")
         err = F.abs((F.col(f"occ_{h}") * F.col("capacity")).cast("double") - y_hat)
         parts.append(p.agg(F.lit(h).alias("horizon_min"), F.avg(err).alias("mae_model"), F.count(F.lit(1)).alias("n_test")))
@@ -87,10 +80,9 @@ def ridge(c):
 def gbt_multi(c):
     """Histogram-boosting twin: one depth-6 GBT per horizon on the bike-space frame."""
     tr, te = _bike_frames(c)
+    fitted = _per_horizon(lambda h: models.fit_bikes(tr, BIKE_X, f"y_{h}"), c)
     parts = []
-    for h in H:
-        g = models.gbt("squared", MAX_ITER, label=f"y_{h}", validation=None)
-        m = g.fit(models.assemble(tr.withColumn(f"y_{h}", F.col(f"y_{h}").cast("double")), BIKE_X))
+    for h, m in zip(H, fitted):
         p = m.transform(models.assemble(te, BIKE_X))
         parts.append(p.agg(F.lit(h).alias("horizon_min"), F.avg(F.abs(F.col(f"y_{h}") - F.col("prediction"))).alias("mae_model"),
                            F.count(F.lit(1)).alias("n_test")))
@@ -103,10 +95,8 @@ def gbt_multi(c):
 @register("score_batch", KEYS + [(f"pred_bikes_{h}", "q") for h in H])
 def score_batch(c):
     """Every test feature row scored by the three Δ models with their calibrated gammas (forecasts in bikes)."""
-    fitted, gammas = {}, {}
-    for h in H:
-        done = models.train_delta_gamma(*_split_clean(c, h), MODEL_FEATURES, h, MAX_ITER)
-        fitted[h], gammas[str(h)] = done["model"], done["gamma"]
+    done = _per_horizon(lambda h: models.train_delta_gamma(*_split_clean(c, h), MODEL_FEATURES, h), c)
+    fitted, gammas = {r["horizon_min"]: r["model"] for r in done}, {str(r["horizon_min"]): r["gamma"] for r in done}
     te = c.labelled_stored.where(~F.col("is_train")).dropna(subset=MODEL_FEATURES)
     return models.score_batch(te, fitted, MODEL_FEATURES, gammas)
 
@@ -115,7 +105,7 @@ def score_batch(c):
 def feature_importance(c):
     """Top-10 feature importances of the 30-minute Δ model."""
     tr, _ = _split_clean(c, 30)
-    m = models.fit_delta(tr, MODEL_FEATURES, 30, MAX_ITER)
+    m = models.fit_delta(tr, MODEL_FEATURES, 30)
     top = models.feature_importance(m, MODEL_FEATURES)[:10]          # as long as the feature list
     return c.spark.createDataFrame([(i + 1, f, v) for i, (f, v) in enumerate(top)], "rank int, feature string, importance double")
 
@@ -123,13 +113,13 @@ def feature_importance(c):
 @register("experiment", [("horizon_min", "i"), ("mae_naive", "q"), ("mae_model", "q"), ("best_iter", "i"), ("gamma", "q")])
 def experiment_q(c):
     """The whole training run with weather, as the stored artifacts were produced."""
-    return experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly, max_iter=MAX_ITER)
+    return experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly)
 
 
 @register("score_requests_models", [("station_id", "s"), ("ts", "t"), ("horizon_min", "i"), ("predicted_bikes", "q"), ("delta_model", "q")])
 def score_requests_models(c):
     """Every request scored by the models of a training run that was saved and loaded again."""
     folder = table_folder(c.spark)
-    experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly, max_iter=MAX_ITER, out_dir=folder)
+    experiment.run(c.spark, c.raw, c.seq, weather_hourly=c.weather_hourly, out_dir=folder)
     return artifacts.score_requests(c.long_requests, artifacts.load_artifacts(c.spark, folder),
                                     scoring.current_weather(c.weather_hourly))

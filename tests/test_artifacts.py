@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 
+from dockcast import config
 from dockcast.plans import artifacts, models
 
 COLS = ["occ_now", "occ_lag_5", "occ_delta_5", "capacity"]
@@ -14,7 +15,7 @@ def _fitted(spark):
     now, lag = rng.random(400), rng.random(400)
     rows = [(float(a), float(b), float(a - b), 20.0, float(0.4 * (b - a))) for a, b in zip(now, lag)]
     d = spark.createDataFrame(rows, "occ_now double, occ_lag_5 double, occ_delta_5 double, capacity double, label double")
-    m = models.gbt("absolute", 4, validation=None).fit(models.assemble(d, COLS))
+    m = models.gbt(config.GBT_DELTA, 4).fit(models.assemble(d, COLS))
     return d, artifacts.Artifacts({15: m, 60: m}, COLS, {"15": 0.7, "60": 1.0})
 
 
