@@ -140,10 +140,10 @@ def fit_occ(train_clean: DataFrame, feat_cols, h: int, max_iter: int | None = No
     return fit_patient(d, feat_cols, config.GBT_OCC, max_iter)[0]
 
 
-def fit_bikes(train: DataFrame, feat_cols, label: str, key=("station_id", "ts")) -> GBTRegressionModel:
+def fit_bikes(train: DataFrame, feat_cols, label: str, key=("station_id", "ts"), max_iter: int | None = None) -> GBTRegressionModel:
     """Bike-space booster of one horizon, stopped on a tenth of the rows chosen by a hash of their key."""
     d = train.withColumns({"label": F.col(label).cast("double"), "is_val": F.pmod(F.xxhash64(*key), F.lit(10)) == 0})
-    return fit_patient(d, feat_cols, config.GBT_BIKES)[0]
+    return fit_patient(d, feat_cols, config.GBT_BIKES, max_iter)[0]
 
 
 def fit_ridge(train: DataFrame, feat_cols, label: str, alpha: float = 1.0):
