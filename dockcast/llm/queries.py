@@ -8,7 +8,7 @@ from dockcast.llm.common import table
 QUERIES = {
     "op1_decontamination": lambda spark, sf: decontaminate.decontaminate_query(table(spark, sf, "documents"), table(spark, sf, "benchmark")),
     "op2_quality": lambda spark, sf: quality.quality_query(table(spark, sf, "documents"), table(spark, sf, "labels")),
-    "op3_line_dedup": lambda spark, sf: linededup.line_query(table(spark, sf, "documents"), far=True),
+    "op3_line_dedup": lambda spark, sf: linededup.line_rows(table(spark, sf, "documents")),
     "op4_fingerprints": lambda spark, sf: fingerprint.fingerprint_query(table(spark, sf, "documents")),
     "op5_near_duplicates": lambda spark, sf: neardup.neardup_query(table(spark, sf, "documents")),
     "op6_mixing": lambda spark, sf: mixing.mix_query(table(spark, sf, "documents")),
