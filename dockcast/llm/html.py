@@ -11,9 +11,10 @@ union-free regular expression over the same tokens:
 Alignment is a longest common subsequence of sibling labels, then the same inside each
 pair.  As merging wrappers is the same step, every task merges what it reads of a host, and
 those partial wrappers are merged in two rounds (parts of a host, then the host), so no task
-holds a host's pages.  From the finished wrapper the places of the main text are chosen:
-inside ``article`` or ``main`` (or what is named so) if the host has it, else in the whole body,
-there without template text and lists of links; never inside menus, headers and footers of
+holds a host's pages.  The pages of a host have a wrapper
+for each kind: with text inside ``article`` or ``main`` (or what is named so), or without.  From
+the finished wrapper the places of the main text are chosen: inside that container for pages
+that have it, in the whole body for the others, there without template text and lists of links; never inside menus, headers and footers of
 the page, sidebars, notices, adverts, forms, scripts, styles or comments, by tag and by the
 words of class, id and role.
 
@@ -242,47 +243,69 @@ def _named(label: str) -> tuple[str, set[str]]:
     return tag, set(words.split(".")) if words else set()
 
 
-def main_paths(wrapper: list) -> dict[str, list]:
-    """Where the main text stands in a host's wrapper.
+def _step(label: str, inside: bool, article: bool, doubtful: bool) -> tuple[bool, bool] | None:
+    """(in the main container, in an article) inside an element; None if the element is left out.
 
-    ``paths`` are the label paths of kept text items, ``template`` texts to leave
-    out at them (only where the host marks no article).
+    An outermost article named by nothing but words of what is away is ``doubtful``: a comment
+    or a notice beside the article, or the article itself where there is no other.
     """
-    def away(label, inside):
-        tag, words = _named(label)
-        if tag in DROPPED or words & AWAY:
-            return True
-        return not inside and (tag == "header" or bool(words & PAGE_HEAD))
+    tag, words = _named(label)
+    if tag in ("html", "body"):
+        return inside, article
+    if tag == "main" or tag == "article" and not article:
+        if tag == "article" and words & AWAY and not words & NAMED_MAIN and not doubtful:
+            return None
+        return True, article or tag == "article"
+    if tag in DROPPED or words & AWAY or not inside and (tag == "header" or words & PAGE_HEAD):
+        return None
+    return inside or tag in ("div", "section", "td") and bool(words & NAMED_MAIN) or "main" in words, article
+
+
+def page_kind(tree: list) -> str:
+    """Which pages of its host a page is laid out like: with main text in a container, in doubtful articles only, or in the plain body."""
+    def held(node, inside, article, doubtful):
+        for c in runs(node[1]):
+            if isinstance(c, tuple):
+                if inside:
+                    return True
+            elif (now := _step(c[0], inside, article, doubtful)) and held(c, *now, doubtful):
+                return True
+        return False
+    return "main" if held(tree, False, False, False) else "doubtful" if held(tree, False, False, True) else "body"
+
 
-    def is_main(label):
-        tag, words = _named(label)
-        return tag in MAIN or (tag in ("div", "section", "td") and bool(words & NAMED_MAIN)) or "main" in words
+def main_paths(wrapper: list, kind: str | None = None) -> dict[str, list]:
+    """Where the main text stands in the wrapper of a host's pages of one kind.
 
-    def walk(item, path, inside, optional, repeated, out):
+    ``paths`` are the label paths of kept text items, ``template`` texts to leave out at them.
+    """
+    def walk(item, path, inside, article, optional, repeated, out):
         label = item[0]
         optional, repeated = optional or item[1], repeated or item[2]
         if label.startswith("#") and label != "#root":
             out.append((path, inside, optional, repeated, item[4]))
             return
         if not label.startswith("(") and label != "#root":
-            if away(label, inside):
+            now = _step(label, inside, article, doubtful)
+            if now is None:
                 return
-            inside = inside or is_main(label)
+            inside, article = now
             path = f"{path}/{label}"
         for c in item[3]:
-            walk(c, path, inside, optional, repeated, out)
-    places: list = []
-    walk(wrapper, "", False, False, False, places)
-    if any(inside for _, inside, *_ in places):
-        return {"paths": sorted({p for p, inside, *_ in places if inside}), "template": [], "links": True}
+            walk(c, path, inside, article, optional, repeated, out)
+    for doubtful in [kind != "main"] if kind else [False, True]:
+        places: list = []
+        walk(wrapper, "", False, False, False, False, places)
+        if any(inside for _, inside, *_ in places):
+            return {"paths": sorted({p for p, inside, *_ in places if inside}), "template": [], "links": True}
     # template text stands at one place of every page; it shows only where pages differ somewhere
     differ = any(text is None and not repeated for *_, repeated, text in places)
     template = {text for *_, optional, repeated, text in places if text is not None and not optional and not repeated}
     return {"paths": sorted({p for p, *_ in places}), "template": sorted(template) if differ else [], "links": False}
 
 
-def extract(page: str, rules: dict) -> str:
-    """The main text of a page by its host's rules."""
+def extract(page: str | list, rules: dict) -> str:
+    """The main text of a page (or of its tree) by the rules of its host and kind."""
     kept, template, out = set(rules["paths"]), set(rules["template"]), []
 
     def walk(node, path):
@@ -292,7 +315,7 @@ def extract(page: str, rules: dict) -> str:
                     out.append(c[0])
             else:
                 walk(c, f"{path}/{c[0]}")
-    walk(read_page(page), "")
+    walk(read_page(page) if isinstance(page, str) else page, "")
     return " ".join(out)
 
 
@@ -300,7 +323,12 @@ _WRAPPER = "host string, part int, pages long, wrapper string"
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, pages, wrapper): the wrapper of every host of ``pages`` (host, html), as JSON."""
+    """(host, pages, wrapper): the wrappers of every host of ``pages`` (host, html) by kind of page, as JSON: kind -> [pages, wrapper]."""
+    def joined(old, new):
+        for kind, (n, w) in new.items():
+            old[kind] = [old[kind][0] + n, merge(old[kind][1], w)] if kind in old else [n, w]
+        return old
+
     def partial(batches):
         held, serial = {}, 0
 
@@ -311,9 +339,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
                 names=["host", "part", "pages", "wrapper"])
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
-                w = page_wrapper(read_page(html.as_py() or ""))
-                n, old = held.get(host, (0, None))
-                held[host] = (n + 1, w if old is None else merge(old, w))
+                tree = read_page(html.as_py() or "")
+                n, old = held.get(host, (0, {}))
+                held[host] = (n + 1, joined(old, {page_kind(tree): [1, page_wrapper(tree)]}))
             if len(held) > HELD_HOSTS:
                 serial += 1
                 yield rows()
@@ -322,9 +350,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
             yield rows()
 
     def merged(pdf):
-        total, w = 0, None
+        total, w = 0, {}
         for n, s in zip(pdf["pages"], pdf["wrapper"]):
-            total, w = total + n, json.loads(s) if w is None else merge(w, json.loads(s))
+            total, w = total + n, joined(w, json.loads(s))
         return pdf.iloc[:1].assign(pages=total, wrapper=json.dumps(w))
     parts = pages.select("host", "html").mapInArrow(partial, _WRAPPER)
     for key in (["host", "part"], ["host"]):
@@ -345,8 +373,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 if host not in rules:
                     if len(rules) > HELD_HOSTS:
                         rules.clear()
-                    rules[host] = main_paths(json.loads(wrapper))
-                out.append(extract(html, rules[host]))
+                    rules[host] = {kind: main_paths(w, kind) for kind, (_, w) in json.loads(wrapper).items()}
+                tree = read_page(html)
+                out.append(extract(tree, rules[host][page_kind(tree)]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
     joined = checked_join(rows, known.select("host", "wrapper"), "host", "inner", 64, F.octet_length("wrapper"))
     return joined.select("page_id", "url", "host", "html", "wrapper").mapInArrow(run, "page_id long, url string, text string")

@@ -95,3 +95,14 @@ def test_wrapper_is_a_union_free_expression():
 def test_broken_markup_does_not_fail(page):
     text = h.extract(page, h.main_paths(h.page_wrapper(h.read_page(page))))
     assert not re.search(r"\s\s", text)
+
+
+def test_a_container_on_one_page_does_not_blank_the_others(spark):
+    rows = [(1, "https://a.example/1", "<body><article><p>In article</p></article><p>out</p>"),
+            (2, "https://a.example/2", "<body><div><p>Plain two</p></div>"), (3, "https://a.example/3", "<body><div><p>Plain three</p></div>"),
+            (4, None, "<div class='post-list'><p>Listed</p></div>"), (5, "/relative", "<p>Bare text</p>"),
+            (6, "https://b.example/1", "<html class='no-sidebar'><body class='has-sidebar search'><article class='post comments-open'><p>Kept</p></article>"),
+            (7, "https://c.example/1", "<body><main class='with-sidebar'><article class='share'><p>Only one</p></article></main>"),
+            (8, "https://c.example/2", "<body><article class='post'><p>The post</p></article><article class='comment'><p>A comment</p></article>")]
+    got = {r.page_id: r.text for r in h.html_query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: "In article", 2: "Plain two", 3: "Plain three", 4: "Listed", 5: "Bare text", 6: "Kept", 7: "Only one", 8: "The post"}
