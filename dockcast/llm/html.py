@@ -14,7 +14,8 @@ those partial wrappers are merged in two rounds (parts of a host, then the host)
 holds a host's pages.  The pages of a host have a wrapper
 for each kind: with text inside ``article`` or ``main`` (or what is named so), or without.  From
 the finished wrapper the places of the main text are chosen: inside that container for pages
-that have it, in the whole body for the others, there without template text and lists of links; never inside menus, headers and footers of
+that have it, in the whole body for the others, both without template text and lists of links
+(in a container only what three pages or more agree on); never inside menus, headers and footers of
 the page, sidebars, notices, adverts, forms, scripts, styles or comments, by tag and by the
 words of class, id and role.
 
@@ -61,6 +62,8 @@ HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
+# Pages that must agree on a text inside the container before it counts as the host's.
+AGREE = 3
 # Partial wrappers of a host are merged in this many parts first.
 PARTS = 16
 # Hosts whose wrappers one task keeps before it passes them on.
@@ -274,16 +277,18 @@ def page_kind(tree: list) -> str:
     return "main" if held(tree, False, False, False) else "doubtful" if held(tree, False, False, True) else "body"
 
 
-def main_paths(wrapper: list, kind: str | None = None) -> dict[str, list]:
-    """Where the main text stands in the wrapper of a host's pages of one kind.
+def main_paths(wrapper: list, kind: str | None = None, pages: int = 1) -> dict[str, list]:
+    """Where the main text stands in the wrapper of a host's ``pages`` pages of one kind.
 
     ``paths`` are the label paths of kept text items, ``template`` texts to leave out at them.
+    Inside a container ``fixed`` are the (path, text) that AGREE pages and more all have at
+    one place, and ``lists`` the paths of repeated groups of links alone that all have.
     """
     def walk(item, path, inside, article, optional, repeated, out):
         label = item[0]
         optional, repeated = optional or item[1], repeated or item[2]
         if label.startswith("#") and label != "#root":
-            out.append((path, inside, optional, repeated, item[4]))
+            out.append((path, inside, optional, repeated, item[4], label == "#a"))
             return
         if not label.startswith("(") and label != "#root":
             now = _step(label, inside, article, doubtful)
@@ -296,27 +301,33 @@ def main_paths(wrapper: list, kind: str | None = None) -> dict[str, list]:
     for doubtful in [kind != "main"] if kind else [False, True]:
         places: list = []
         walk(wrapper, "", False, False, False, False, places)
-        if any(inside for _, inside, *_ in places):
-            return {"paths": sorted({p for p, inside, *_ in places if inside}), "template": [], "links": True}
+        if inner := [p for p in places if p[1]]:
+            fixed, lists = set(), set()
+            if pages >= AGREE and any(text is None and not repeated for *_, repeated, text, _ in inner):
+                fixed = {(p, text) for p, _, optional, repeated, text, _ in inner if text is not None and not optional and not repeated}
+                mixed = {p for p, _, optional, repeated, _, linked in inner if not (linked and repeated) or optional}
+                lists = {p for p, *_ in inner} - mixed
+            return {"paths": sorted({p for p, *_ in inner}), "template": [], "links": True, "fixed": sorted(fixed), "lists": sorted(lists)}
     # template text stands at one place of every page; it shows only where pages differ somewhere
-    differ = any(text is None and not repeated for *_, repeated, text in places)
-    template = {text for *_, optional, repeated, text in places if text is not None and not optional and not repeated}
+    differ = any(text is None and not repeated for *_, repeated, text, _ in places)
+    template = {text for *_, optional, repeated, text, _ in places if text is not None and not optional and not repeated}
     return {"paths": sorted({p for p, *_ in places}), "template": sorted(template) if differ else [], "links": False}
 
 
 def extract(page: str | list, rules: dict) -> str:
     """The main text of a page (or of its tree) by the rules of its host and kind."""
-    kept, template, out = set(rules["paths"]), set(rules["template"]), []
+    kept, template, out, left = set(rules["paths"]), set(rules["template"]), [], []
+    fixed, lists = set(map(tuple, rules.get("fixed", ()))), set(rules.get("lists", ()))
 
     def walk(node, path):
         for c in runs(node[1]):
             if isinstance(c, tuple):
                 if path in kept and c[0] not in template and (rules["links"] or not c[1]):
-                    out.append(c[0])
+                    (left if (path, c[0]) in fixed or c[1] and path in lists else out).append(c[0])
             else:
                 walk(c, f"{path}/{c[0]}")
     walk(read_page(page) if isinstance(page, str) else page, "")
-    return " ".join(out)
+    return " ".join(out or left)                             # a container of nothing else is kept
 
 
 _WRAPPER = "host string, part int, pages long, wrapper string"
@@ -373,7 +384,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 if host not in rules:
                     if len(rules) > HELD_HOSTS:
                         rules.clear()
-                    rules[host] = {kind: main_paths(w, kind) for kind, (_, w) in json.loads(wrapper).items()}
+                    rules[host] = {kind: main_paths(w, kind, n) for kind, (n, w) in json.loads(wrapper).items()}
                 tree = read_page(html)
                 out.append(extract(tree, rules[host][page_kind(tree)]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])

@@ -106,3 +106,17 @@ def test_a_container_on_one_page_does_not_blank_the_others(spark):
             (8, "https://c.example/2", "<body><article class='post'><p>The post</p></article><article class='comment'><p>A comment</p></article>")]
     got = {r.page_id: r.text for r in h.html_query(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: "In article", 2: "Plain two", 3: "Plain three", 4: "Listed", 5: "Bare text", 6: "Kept", 7: "Only one", 8: "The post"}
+
+
+def test_unnamed_template_text_inside_the_article_goes_when_pages_agree(spark):
+    def page(i, box):
+        return (f"<body><article><h1>Head {i}</h1><p>One {i}</p><p>Two</p><div class=box7>{box}</div>"
+                f"<div><ul><li><a href=/a>A {i}</a></li><li><a href=/b>B {i}</a></li></ul></div></article>")
+    rows = [(i, f"https://same.example/{i}", page(i, "Get the app")) for i in range(4)]
+    rows += [(10 + i, f"https://differ.example/{i}", page(i, f"Box {i}")) for i in range(4)]
+    rows += [(20, "https://alone.example/", page(0, "Get the app"))]
+    got = {r.page_id: r.text for r in h.html_query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(4):
+        assert got[i] == f"Head {i} One {i} Two"
+        assert got[10 + i] == f"Head {i} One {i} Two Box {i}"
+    assert got[20] == "Head 0 One 0 Two Get the app A 0 B 0"
