@@ -196,7 +196,7 @@ def _across(docs: DataFrame, rest: DataFrame, nodes: DataFrame) -> DataFrame:
     ``rest`` has (band, at, node, component, n), n the bucket's members.  A bucket is
     cut into blocks of about ``BLOCK`` nodes and compared block against block, so
     a task holds two blocks at most.  Registers rule out most pairs (they agree at
-    least as often as the sets are similar), 32-bit shingles settle the others;
+    least as often as the sets are similar), full sets of shingles settle the others;
     nothing is emitted but pairs that reach the threshold, and only as long as
     they join components that the task has not seen joined.
     """
@@ -204,7 +204,7 @@ def _across(docs: DataFrame, rest: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def small_sets(batches):
         for ids, texts in text_runs(batches, True, RUN_BYTES):
-            blobs = [np.unique(s.astype(np.uint32)).tobytes() for s in shingle_sets(texts)]
+            blobs = [np.unique(s).tobytes() for s in shingle_sets(texts)]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["node", "shingles"])
     sets = materialise(checked_join(docs.select("doc_id", "text"), asked, "doc_id", "left_semi")
                        .mapInArrow(small_sets, "node long, shingles binary"))
@@ -239,7 +239,7 @@ def _links(rows: list[dict]):
     own = np.array([r["own"] for r in rows])
     x, y, at = rows[0]["x"], rows[0]["y"], rows[0]["at"]
     component = np.array([r["component"] for r in rows])
-    sets = [np.frombuffer(r["shingles"], np.uint32) for r in rows]
+    sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
     found = []
     for i in np.flatnonzero(own == x):
         partners = np.flatnonzero((own == y) & (component != component[i]) & (np.minimum(size, size[i]) * THRESHOLD[1] >= np.maximum(size, size[i]) * THRESHOLD[0])

@@ -123,3 +123,14 @@ def test_components_of_chains_and_stars(spark):
     want = {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)} | {300: 299, 299: 299}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_open_buckets_compare_whole_shingles():
+    from dockcast.llm import neardup
+
+    def links(high):
+        rows = [{"registers": bytes(2 * neardup.M), "n_shingles": 8, "node": n, "own": 0, "x": 0, "y": 0, "at": 0, "component": n,
+                 "shingles": (np.arange(8, dtype=np.uint64) + (np.uint64(h) << np.uint64(32))).tobytes()} for n, h in ((1, 1), (2, high))]
+        return [b.to_pylist() for b in neardup._links(rows)]
+    assert links(2) == []
+    assert links(1) == [[{"a": 1, "b": 2}]]
