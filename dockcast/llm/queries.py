@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dockcast.llm import chat, decontaminate, fingerprint, html, linededup, mixing, neardup, quality, sharding, substring
+from dockcast.llm import (chat, decontaminate, filteraudit, fingerprint, html, linededup, merkle, mixing, neardup, quality, sharding,
+                          simhash, substring)
 from dockcast.llm.common import table
 
 QUERIES = {
@@ -16,9 +17,14 @@ QUERIES = {
     "op8_sharding": lambda spark, sf: sharding.shard_query(table(spark, sf, "documents")),
     "op9_substring_dedup": lambda spark, sf: substring.substring_query(table(spark, sf, "documents")),
     "op10_html_text": lambda spark, sf: html.html_query(table(spark, sf, "pages")),
+    "op11_filter_audit": lambda spark, sf: filteraudit.audit_query(table(spark, sf, "documents"), table(spark, sf, "labels")),
+    "op12_merkle_manifest": lambda spark, sf: merkle.merkle_query(table(spark, sf, "documents")),
+    "op13_simhash": lambda spark, sf: simhash.simhash_query(table(spark, sf, "documents")),
 }
 
 ORACLE = {
     "op6_mixing": mixing.MIX_SQL,
     "op7_chat_format": chat.CHAT_SQL,
+    "op11_filter_audit": filteraudit.AUDIT_SQL,
+    "op12_merkle_manifest": merkle.MERKLE_SQL,
 }
