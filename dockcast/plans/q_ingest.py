@@ -8,9 +8,12 @@ from dockcast.functions.columns import utc_normalise
 from dockcast.plans.catalog import register
 from dockcast.plans.sqltext import with_
 from dockcast.sources import fixtures as fx
-from dockcast.sources import gbfs
+from dockcast.session import table_folder
+from dockcast.sources import gbfs, versions
 from dockcast.sources.tables import read_table
-from dockcast.streaming.snapshots import to_panel
+from dockcast.streaming.gbfs_polls import start_polls
+from dockcast.streaming.landing import by_time, land
+from dockcast.streaming.snapshots import SNAPSHOT_SCHEMA, start_latest, start_panel, to_panel
 
 INFO_SQL = """info AS (SELECT CAST(s_suppkey AS VARCHAR) AS station_id, s_name AS name,
     CAST(48.80 AS DOUBLE) + s_nationkey / CAST(100 AS DOUBLE) AS lat,
@@ -91,21 +94,91 @@ def _snapshots(c):
 _CLOSED = """ WHERE x.ts + INTERVAL 5 MINUTES <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTES"""
 
 
-@register("snapshot_stream", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")],
-          _PANEL_SQL + _CLOSED)
-def snapshot_stream(c):
-    """The 5-minute panel built by Structured Streaming: snapshots land as time-range files,
-    the file-source stream (watermark 10 min) runs to completion with availableNow, and
-    the closed ticks it emitted are returned (the still-open last ticks are not)."""
-    import uuid
+# deliveries a stream reads one after another, and the most files of each
+DROPS, FILES = 8, 4
 
-    from dockcast.session import ensure_checkpoint_dir
-    from dockcast.streaming.snapshots import SNAPSHOT_SCHEMA, start_panel
-    root = f"{ensure_checkpoint_dir(c.spark).rstrip('/')}/dockcast-stream/{uuid.uuid4().hex}"
+
+def _land_snapshots(c, folder):
     s = _snapshots(c)
     full = s.select(*[(F.col(f.name) if f.name in s.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                       for f in SNAPSHOT_SCHEMA.fields])
-    full.repartitionByRange(30, "snapshot_ts").write.parquet(f"{root}/landing")     # files arrive as time ranges
-    q = start_panel(c.spark, f"{root}/landing", f"{root}/panel", f"{root}/ckpt", available_now=True)
+    land(full, by_time(full, "snapshot_ts", DROPS), DROPS, folder, files=FILES)
+
+
+@register("snapshot_stream", [("station_id", "s"), ("ts", "t"), ("bikes_available", "q"), ("capacity", "q"), ("n_snapshots", "l")],
+          _PANEL_SQL + _CLOSED)
+def snapshot_stream(c):
+    """The 5-minute panel built by Structured Streaming: snapshots land in time order in ``DROPS`` deliveries,
+    the file-source stream takes them in as many micro-batches (watermark 10 min, availableNow), and
+    the closed ticks it emitted are returned (the still-open last ticks are not)."""
+    root = table_folder(c.spark)
+    _land_snapshots(c, f"{root}/landing")
+    q = start_panel(c.spark, f"{root}/landing", f"{root}/panel", f"{root}/ckpt", available_now=True, max_files=FILES)
     q.awaitTermination()
     return c.spark.read.parquet(f"{root}/panel")
+
+
+@register("latest_stream", [("station_id", "s"), ("snapshot_ts", "t"), ("num_bikes_available", "q"), ("capacity", "q")],
+          """SELECT {out} FROM (SELECT CAST(user_id AS VARCHAR) AS station_id, ts AS snapshot_ts,
+               CASE WHEN event_id % 37 = 0 THEN NULL ELSE value END AS num_bikes_available,
+               CASE WHEN event_type = 'signup' THEN CAST(20 + user_id % 40 AS DOUBLE) END AS capacity
+             FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1) x""")
+def latest_stream(c):
+    """The newest snapshot of each station, kept by a stream that commits a version per micro-batch (``DROPS`` of them)."""
+    root = table_folder(c.spark)
+    _land_snapshots(c, f"{root}/landing")
+    q = start_latest(c.spark, f"{root}/landing", f"{root}/latest", f"{root}/ckpt", available_now=True, max_files=FILES)
+    q.awaitTermination()
+    return versions.read(c.spark, f"{root}/latest")
+
+
+# --- documents of several polls, made from the station tables -----------------
+POLLS, PER_DOCUMENT, FIRST_POLL = 8, 40, "2024-01-01 00:00:00"
+
+
+def _poll_time(poll):
+    return F.unix_micros(F.lit(FIRST_POLL + "+00:00").cast("timestamp")) / 1_000_000 + poll * 300
+
+
+def _documents(stations, drop):
+    """One line of JSON per poll and ``PER_DOCUMENT`` stations (a feed's document), with the delivery it comes in."""
+    names = [x for x in stations.columns if x not in ("poll", "feed", "last_updated")]
+    docs = stations.groupBy("poll", "feed", "last_updated").agg(F.collect_list(F.struct(*names)).alias("stations"))
+    text = F.to_json(F.struct(F.col("last_updated").cast("long").alias("last_updated"), F.struct("stations").alias("data")))
+    return docs.select("poll", "feed", text.alias("value")).withColumn("_at", drop)
+
+
+def _land_documents(docs, folder):
+    docs = docs.where("_at IS NOT NULL")
+    land(docs.select("value", "feed", "_at"), F.col("_at"), POLLS + 1, folder, key="feed", files=FILES,
+         write=lambda d, path: d.select("value").write.mode("append").text(path))
+
+
+@register("gbfs_stream", SNAP_SPEC + [("snapshot_ts", "t")],
+          with_(STATUS_SQL, HARM_SQL, INFO_SQL) + f"""SELECT {{out}} FROM (SELECT h.station_id, i.name, i.lat, i.lon, i.capacity,
+             h.is_installed, h.is_renting, h.is_returning, h.last_reported, h.num_bikes_available + 7 * poll AS num_bikes_available,
+             h.num_docks_available, TIMESTAMP '{FIRST_POLL}' + to_minutes(5 * poll) AS snapshot_ts
+             FROM harm h JOIN info i ON h.station_id = i.station_id CROSS JOIN (SELECT unnest(range({POLLS})) AS poll)
+             WHERE NOT (poll = 3 AND CAST(h.station_id AS BIGINT) // {PER_DOCUMENT} % 3 = 1)
+               AND NOT (poll = 1 AND CAST(h.station_id AS BIGINT) // {PER_DOCUMENT} % 3 = 2)) x""")
+def gbfs_stream(c):
+    """Station documents of eight polls, landed as raw JSON and joined by a stream.
+
+    Of every third feed, the information document of poll 3 never comes (no rows); the status document of
+    poll 1 comes after the last poll, beyond the watermark (no rows); that of poll 4 comes one poll late (joined).
+    """
+    feed = F.expr(f"CAST(station_id AS BIGINT) DIV {PER_DOCUMENT}")
+    polls = F.explode(F.sequence(F.lit(0), F.lit(POLLS - 1)))
+    poll, third = F.col("poll"), F.col("feed") % 3
+    info = (fx.station_info(c.spark, c.sf).withColumn("feed", feed).withColumn("poll", polls)
+            .withColumn("last_updated", _poll_time(poll) - 20))
+    status = (fx.station_status(c.spark, c.sf).withColumn("feed", feed).withColumn("poll", polls)
+              .withColumns({x: F.col(x) + 7 * poll for x in ("num_bikes_available", "numBikesAvailable")})
+              .withColumn("last_updated", _poll_time(poll)))
+    root = table_folder(c.spark)
+    _land_documents(_documents(info, F.when(~((poll == 3) & (third == 1)), poll)), f"{root}/info")
+    _land_documents(_documents(status, F.when((poll == 1) & (third == 2), F.lit(POLLS)).when((poll == 4) & (third == 0), poll + 1).otherwise(poll)),
+                    f"{root}/status")
+    q = start_polls(c.spark, f"{root}/info", f"{root}/status", f"{root}/snapshots", f"{root}/ckpt", max_files=FILES, available_now=True)
+    q.awaitTermination()
+    return c.spark.read.parquet(f"{root}/snapshots")

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockcast.operators.dims import materialise
+from dockcast.sources import versions
 
 FORMATS = ("csv", "parquet")
 
 
 def write_snapshots(df: DataFrame, outdir: str, fmt: str = "parquet", latest: bool = True) -> None:
-    """Append snapshots partitioned by day; optionally overwrite ``latest``
-    with the newest snapshot of each station."""
+    """Append snapshots partitioned by day; optionally commit the newest snapshot of
+    each station as the next version of ``latest`` (read it with ``versions.read``)."""
     fmt = fmt.lower()
     if fmt == "pq":
         fmt = "parquet"
@@ -25,8 +26,7 @@ def write_snapshots(df: DataFrame, outdir: str, fmt: str = "parquet", latest: bo
     w = d.write.mode("append").partitionBy("snapshot_date")
     (w.option("header", True).csv if fmt == "csv" else w.parquet)(f"{outdir}/snapshots")
     if latest:
-        lw = latest_per_station(df).write.mode("overwrite")
-        (lw.option("header", True).csv if fmt == "csv" else lw.parquet)(f"{outdir}/latest")
+        versions.commit(latest_per_station(df), f"{outdir}/latest", fmt=fmt)
 
 
 def latest_per_station(df: DataFrame, ts: str = "snapshot_ts", key: str = "station_id") -> DataFrame:

@@ -1,61 +1,130 @@
 """Online lag features for serving from a stream of readings.
 
-The service needs the last 36 readings of a station to build the same
-features as training.  Per station the stream keeps that bounded history in
-state (``applyInPandasWithState``; state size is 36 values per station, never
-the station's whole history) and emits each new reading with its features.
+The service needs the last 36 readings of a station to build the same features as
+training.  A stateful processor keeps them per station (``transformWithState``:
+the values in a list state, the last served reading in a value state; a service that
+runs on gives both a time to live, so stations that fall silent leave the state).  Each micro-batch is
+computed at once per station with arrays, not reading by reading.
+
+A reading that is not newer than the last one served for its station is late: its
+features can no longer be those of training, so it is not served but comes out
+marked ``late``, with the served reading it came after.  Readings of one
+micro-batch are put in order first, so only what arrives in a later batch is late.
+Ties in time are ordered by ``event_id``; a repeated (time, id) is late.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from dockcast import config
 
 KEEP = max(config.ROLL_STEPS)
-OUT_COLS = (["station_id", "ts", "occ"] + [f"occ_lag_{k * config.FREQ_MIN}" for k in config.LAG_STEPS]
-            + [f"occ_roll_{k * config.FREQ_MIN}" for k in config.ROLL_STEPS]
-            + [f"occ_delta_{k * config.FREQ_MIN}" for k in config.DELTA_STEPS])
-OUTPUT_SCHEMA = ("station_id string, ts timestamp, occ double, " + ", ".join(f"{c} double" for c in OUT_COLS[3:]))
-STATE_SCHEMA = "hist array<double>, last_ts timestamp"
-
-
-def _features(values: list[float]) -> dict:
-    """Training definitions over the history (last element = current reading)."""
-    cur = values[-1]
-    prev = values[:-1]
-    out = {"occ": cur}
-    for k in config.LAG_STEPS:
-        out[f"occ_lag_{k * config.FREQ_MIN}"] = prev[-k] if len(prev) >= k else np.nan
-    for k in config.ROLL_STEPS:
-        w = prev[-k:]
-        out[f"occ_roll_{k * config.FREQ_MIN}"] = float(np.mean(w)) if len(w) == k and not np.isnan(w).any() else np.nan
-    for k in config.DELTA_STEPS:
-        out[f"occ_delta_{k * config.FREQ_MIN}"] = cur - prev[-k] if len(prev) >= k else np.nan
+LAGS = {f"occ_lag_{k * config.FREQ_MIN}": k for k in config.LAG_STEPS}
+ROLLS = {f"occ_roll_{k * config.FREQ_MIN}": k for k in config.ROLL_STEPS}
+DELTAS = {f"occ_delta_{k * config.FREQ_MIN}": k for k in config.DELTA_STEPS}
+FEATURES = [*LAGS, *ROLLS, *DELTAS]
+OUT_COLS = ["station_id", "ts", "event_id", "occ", *FEATURES, "late", "served_ts"]
+OUTPUT_SCHEMA = ("station_id string, ts timestamp, event_id long, occ float, " + ", ".join(f"{c} float" for c in FEATURES)
+                 + ", late boolean, served_ts timestamp")
+TTL_MS = 30 * 86_400_000
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def batch_features(history: np.ndarray, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Training definitions for ``values`` (float32) that follow ``history``; unknown readings are NaN."""
+    line = np.concatenate([np.full(KEEP, np.nan, np.float32), history.astype(np.float32), values.astype(np.float32)])
+    n, end = len(values), len(line)
+
+    def before(k: int) -> np.ndarray:
+        return line[end - n - k:end - k]
+    out = {c: before(k) for c, k in LAGS.items()}
+    windows = np.lib.stride_tricks.sliding_window_view(line.astype(np.float64), KEEP)[end - n - KEEP:end - KEEP]
+    for c, k in ROLLS.items():
+        out[c] = windows[:, KEEP - k:].mean(axis=1).astype(np.float32)
+    for c, k in DELTAS.items():
+        out[c] = values.astype(np.float32) - before(k)
     return out
 
 
-def _update(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    hist = list(state.get[0]) if state.exists else []
-    last_ts = state.get[1] if state.exists else None
-    rows = []
-    batch = pd.concat(list(pdfs)).sort_values("ts", kind="mergesort")
-    for ts, occ in zip(batch["ts"], batch["occ"]):
-        if last_ts is not None and ts <= last_ts:
-            continue                                   # duplicate or older than what was served
-        hist = (hist + [np.nan if pd.isna(occ) else float(occ)])[-(KEEP + 1):]
-        rows.append({"station_id": key[0], "ts": ts, **_features(hist)})
-        last_ts = ts
-    state.update((hist, last_ts))
-    yield pd.DataFrame(rows, columns=OUT_COLS)
-
-
-def online_features(readings: DataFrame) -> DataFrame:
-    """readings: station_id, ts (timestamp), occ  ->  features per new reading (append)."""
-    return readings.groupBy("station_id").applyInPandasWithState(
-        _update, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+class LagFeatures(StatefulProcessor):
+    """Features of new readings of a station; late ones are passed on as they are."""
+
+    def __init__(self, ttl_ms: int | None = None):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle) -> None:
+        self.history = handle.getListState("history", "occ float", self.ttl_ms)
+        self.last = handle.getValueState("last", "ts timestamp, event_id long", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["ts", "event_id"], kind="stable")
+        last = self.last.get() if self.last.exists() else None
+        repeated = batch.duplicated(["ts", "event_id"])
+        late = repeated.to_numpy()
+        served_ts = pd.Series(pd.NaT, index=batch.index, dtype="datetime64[ns]")
+        served_ts[repeated] = batch["ts"][repeated]
+        if last is not None:
+            at = pd.Timestamp(last[0])
+            old = ((batch["ts"] < at) | ((batch["ts"] == at) & (batch["event_id"] <= last[1]))).to_numpy()
+            served_ts[old] = at
+            late = late | old
+        served = batch[~late]
+        if late.any():
+            out = batch[late][["ts", "event_id", "occ"]].assign(station_id=key[0], late=True, served_ts=served_ts[late])
+            yield out.reindex(columns=OUT_COLS)
+        if len(served):
+            values = served["occ"].to_numpy(np.float32)
+            history = np.array([np.nan if r[0] is None else r[0] for r in self.history.get()] if last is not None else [], np.float32)
+            out = pd.DataFrame({"station_id": key[0], "ts": served["ts"].to_numpy(), "event_id": served["event_id"].to_numpy(),
+                                "occ": values, **batch_features(history, values)}).assign(late=False, served_ts=pd.NaT)
+            kept = np.concatenate([history, values])[-KEEP:]
+            self.history.put([(None if np.isnan(v) else float(v),) for v in kept])
+            self.last.update((served["ts"].iloc[-1].to_pydatetime(), int(served["event_id"].iloc[-1])))
+            yield out[OUT_COLS]
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """The state store that ``transformWithState`` needs, for queries started inside."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+def online_features(readings: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+    """readings: station_id, ts (timestamp), event_id, occ (float) -> one row per reading, served with features or ``late``.
+
+    A time to live counts by the clock, so such a query goes on with empty batches and never ends by itself.
+    """
+    r = readings.select("station_id", "ts", "event_id", F.col("occ").cast("float").alias("occ"))
+    return r.groupBy("station_id").transformWithStateInPandas(LagFeatures(ttl_ms), OUTPUT_SCHEMA, "append", "none" if ttl_ms is None else "processingTime")
+
+
+def start_online(spark: SparkSession, landing: str, served: str, late: str, checkpoint: str, max_files: int = 4, available_now: bool = False):
+    """Serve landed readings: features into ``served``, late readings into ``late`` (both by batch number, so a repeated batch replaces itself)."""
+    schema = "station_id string, ts timestamp, event_id long, occ float"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
+
+    def deliver(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()                                       # one run of the state update for both outputs
+        batch.where("NOT late").drop("late", "served_ts").write.mode("overwrite").parquet(f"{served}/batch={epoch}")
+        batch.where("late").select("station_id", "ts", "event_id", "occ", "served_ts").write.mode("overwrite").parquet(f"{late}/batch={epoch}")
+        batch.unpersist()
+
+    with state_store(spark):
+        w = online_features(stream, None if available_now else TTL_MS).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
+        return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")).start()

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from dockcast import config
 from dockcast.functions.columns import from_micros, micros
+from dockcast.sources import versions
 from dockcast.sources.sinks import latest_per_station
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -62,48 +63,32 @@ def start_ingest(spark: SparkSession, landing: str, table: str, checkpoint: str,
     return w.start()
 
 
-def _versions(spark: SparkSession, out: str) -> list[int]:
-    """Numbers of the finished versions of a ``latest`` table, in order."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    found = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith("version=")]
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(jpath(p, "_SUCCESS")))
-
-
-def read_latest(spark: SparkSession, out: str, before: int | None = None) -> DataFrame | None:
-    """The newest finished version of a ``latest`` table (older than ``before``); None if there is none."""
-    done = [v for v in _versions(spark, out) if before is None or v < before]
-    return spark.read.parquet(f"{out}/version={done[-1]}") if done else None
-
-
 def start_latest(spark: SparkSession, landing: str, out: str, checkpoint: str, fmt: str = "parquet",
-                 available_now: bool = False):
+                 available_now: bool = False, max_files: int = 1000, keep: int = versions.KEEP):
     """Keep a ``latest`` table: each micro-batch merges its newest row per station into the version
-    before and writes a version of its own (foreachBatch).
+    before and commits a version of its own (foreachBatch).
 
-    A version counts once it is finished, so a crash loses nothing and a repeated batch
-    writes the same version again; a read error fails the batch.  Read it with ``read_latest``.
+    A version counts once its pointer is written, so a crash loses nothing and a repeated batch
+    starts from the version before it again (``keep`` is at least 2); a read error fails the batch.
+    Read it with ``versions.read``.
     """
     def merge(batch: DataFrame, epoch: int) -> None:
         fresh = latest_per_station(batch)
-        old = read_latest(batch.sparkSession, out, before=epoch)
+        old = versions.read(batch.sparkSession, out, before=epoch)
         if old is not None:
             fresh = latest_per_station(old.unionByName(fresh))
-        fresh.write.mode("overwrite").parquet(f"{out}/version={epoch}")
+        versions.commit(fresh, out, epoch, max(2, keep))
 
-    s = read_snapshot_stream(spark, landing, fmt)
+    s = read_snapshot_stream(spark, landing, fmt, max_files=max_files)
     w = s.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")
     return w.start()
 
 
 def start_panel(spark: SparkSession, landing: str, out: str, checkpoint: str, fmt: str = "parquet",
-                watermark: str = "10 minutes", available_now: bool = False):
+                watermark: str = "10 minutes", available_now: bool = False, max_files: int = 1000):
     """Stream the 5-minute panel into Parquet (append mode, closed ticks only)."""
-    p = to_panel(read_snapshot_stream(spark, landing, fmt), watermark=watermark)
+    p = to_panel(read_snapshot_stream(spark, landing, fmt, max_files=max_files), watermark=watermark)
     w = (p.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
           .outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="60 seconds")

@@ -6,8 +6,8 @@ import os
 
 import pytest
 
-from dockcast.sources import gbfs, sinks, weather_json
-from dockcast.streaming import snapshots
+from dockcast.sources import gbfs, sinks, versions, weather_json
+from dockcast.streaming import gbfs_polls, snapshots
 
 
 def _write(path, obj):
@@ -47,7 +47,7 @@ def test_snapshot_sink_and_latest(spark, tmpdir_path):
     df = spark.createDataFrame([("1", 3, dt.datetime(2024, 1, 1, 0, 0)), ("1", 4, dt.datetime(2024, 1, 1, 0, 1)),
                                 ("2", 5, dt.datetime(2024, 1, 1, 0, 0))], "station_id string, num_bikes_available int, snapshot_ts timestamp_ntz")
     sinks.write_snapshots(df, tmpdir_path, "parquet")
-    latest = {r.station_id: r.num_bikes_available for r in spark.read.parquet(f"{tmpdir_path}/latest").collect()}
+    latest = {r.station_id: r.num_bikes_available for r in versions.read(spark, f"{tmpdir_path}/latest").collect()}
     assert latest == {"1": 4, "2": 5}
     assert spark.read.parquet(f"{tmpdir_path}/snapshots").count() == 3
     with pytest.raises(ValueError):
@@ -93,7 +93,7 @@ def test_ingest_and_latest_streams(spark, tmpdir_path):
     assert spark.read.parquet(f"{tmpdir_path}/table").count() == 6
     q2 = snapshots.start_latest(spark, f"{land}/*", f"{tmpdir_path}/latest", f"{tmpdir_path}/ck2", available_now=True)
     q2.awaitTermination(120)
-    latest = {r.station_id: r.num_bikes_available for r in snapshots.read_latest(spark, f"{tmpdir_path}/latest").collect()}
+    latest = {r.station_id: r.num_bikes_available for r in versions.read(spark, f"{tmpdir_path}/latest").collect()}
     assert latest == {"1": 21, "2": 22}
 
 
@@ -106,3 +106,48 @@ def test_gbfs_polls_pair_by_stamp(spark, tmpdir_path):
     rows = gbfs.read_polls(spark, f"{tmpdir_path}/info", f"{tmpdir_path}/status").orderBy("snapshot_ts").collect()
     assert [(r.num_bikes_available, r.snapshot_ts) for r in rows] == [
         (1, dt.datetime(2024, 1, 1, 0, 0)), (2, dt.datetime(2024, 1, 1, 0, 1))]
+
+
+def test_a_version_counts_once_its_pointer_is_written(spark, tmpdir_path):
+    out = f"{tmpdir_path}/t"
+
+    def rows(n):
+        return spark.createDataFrame([(n,)], "n int")
+    assert versions.read(spark, out) is None and versions.current(spark, out) is None
+    assert versions.commit(rows(0), out) == 0
+    versions.write(rows(1), out, 1)                                        # a crash before the pointer
+    assert versions.read(spark, out).first().n == 0
+    assert versions.commit(rows(11), out, 1) == 1                          # the repeated write replaces it
+    assert versions.read(spark, out).first().n == 11 and versions.read(spark, out, before=1).first().n == 0
+    for n in (2, 3, 4):
+        versions.commit(rows(n), out, fmt="parquet")
+    assert versions.current(spark, out) == 4
+    assert sorted(d for d in os.listdir(out) if d.startswith("version=")) == ["version=3", "version=4"]
+    versions.commit(rows(5), f"{out}-csv", fmt="csv")
+    assert versions.read(spark, f"{out}-csv", fmt="csv").first().n == 5
+
+
+def test_document_streams_join_within_a_poll(spark, tmpdir_path):
+    """Information and status of three polls; one status is late but in time, one comes after its state is gone, one never."""
+    info_dir, status_dir = f"{tmpdir_path}/i", f"{tmpdir_path}/s"
+    t0 = 1_704_067_200
+
+    def info(n, s="7"):
+        return {"last_updated": t0 + 300 * n - 20, "data": {"stations": [{"station_id": s, "name": f"p{n}", "lat": 1.0, "lon": 2.0, "capacity": 10}]}}
+
+    def status(n, s="7", field="num_bikes_available"):
+        return {"last_updated": t0 + 300 * n, "data": {"stations": [{"station_id": s, field: n}]}}
+    plan = [([info(0)], [status(0)]), ([info(1)], [status(1, field="numBikesAvailable")]), ([info(2)], []), ([info(3)], [status(3), status(2)]),
+            ([info(8)], [status(8)]), ([info(9)], [status(9), status(1, "7")])]
+    for i, (a, b) in enumerate(plan):
+        for folder, docs in ((info_dir, a), (status_dir, b)):
+            path = f"{folder}/{i:02d}.json"
+            os.makedirs(folder, exist_ok=True)
+            with open(path, "w") as f:
+                f.write("\n".join(json.dumps(d) for d in docs) + "\n")
+            os.utime(path, (t0 + i, t0 + i))
+    q = gbfs_polls.start_polls(spark, info_dir, status_dir, f"{tmpdir_path}/out", f"{tmpdir_path}/ck", delay="10 minutes", max_files=1, available_now=True)
+    q.awaitTermination(120)
+    got = {(r.name, r.num_bikes_available, r.snapshot_ts) for r in spark.read.parquet(f"{tmpdir_path}/out").collect()}
+    at = dt.datetime(2024, 1, 1)
+    assert got == {(f"p{n}", n, at + dt.timedelta(minutes=5 * n)) for n in (0, 1, 2, 3, 8, 9)}

@@ -15,18 +15,42 @@ def test_gap_report(spark):
     assert miss == [base + dt.timedelta(minutes=10), base + dt.timedelta(minutes=15)]
 
 
-def test_online_features_stream(spark, tmpdir_path):
+def test_array_features_follow_the_definitions():
+    rng = np.random.default_rng(2)
+    line = rng.random(90).astype(np.float32)
+    line[[3, 40, 41]] = np.nan
+    for cut in (0, 1, 20, 36, 60):
+        got = online.batch_features(line[max(0, cut - online.KEEP):cut], line[cut:])
+        for i in range(cut, len(line)):
+            for c, k in online.LAGS.items():
+                want = line[i - k] if i >= k else np.nan
+                assert np.array_equal(got[c][i - cut], want, equal_nan=True)
+            for c, k in online.ROLLS.items():
+                want = line[i - k:i].astype(float).mean() if i >= k else np.nan
+                assert np.isclose(got[c][i - cut], want, equal_nan=True)
+            for c, k in online.DELTAS.items():
+                assert np.isclose(got[c][i - cut], line[i] - line[i - k] if i >= k else np.nan, equal_nan=True)
+
+
+def test_online_stream_serves_in_order_and_marks_late_readings(spark, tmpdir_path):
     base = dt.datetime(2024, 1, 1)
     land = f"{tmpdir_path}/readings"
     vals = [0.1 * i for i in range(15)]
-    for part in range(3):
-        rows = [("s", base + dt.timedelta(minutes=5 * i), vals[i]) for i in range(part * 5, part * 5 + 5)]
-        spark.createDataFrame(rows, "station_id string, ts timestamp, occ double").coalesce(1).write.mode("overwrite").parquet(f"{land}/p{part}")
-    stream = spark.readStream.schema("station_id string, ts timestamp, occ double").option("maxFilesPerTrigger", 1).parquet(f"{land}/*")
-    q = (online.online_features(stream).writeStream.format("memory").queryName("online_out")
-               .option("checkpointLocation", f"{tmpdir_path}/ck").outputMode("append").trigger(availableNow=True).start())
+
+    def reading(i, s="s"):
+        return s, base + dt.timedelta(minutes=5 * i), 100 + i, vals[i]
+    drops = [[reading(i) for i in (2, 0, 1, 3, 4)],                                  # out of order inside a batch is no fault
+             [reading(i) for i in range(5, 10) if i != 7] + [reading(3)],            # 7 is missing, 3 comes again
+             [reading(i) for i in range(10, 15)] + [reading(7), reading(0, "other"), reading(0, "other")]]
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, "station_id string, ts timestamp, event_id long, occ float").coalesce(1).write.parquet(f"{land}/p{i}")
+    q = online.start_online(spark, f"{land}/*", f"{tmpdir_path}/served", f"{tmpdir_path}/late", f"{tmpdir_path}/ck", max_files=1, available_now=True)
     q.awaitTermination(120)
-    out = spark.sql("SELECT * FROM online_out ORDER BY ts").toPandas()
-    assert len(out) == 15
-    assert np.isclose(out["occ_lag_5"].iloc[6], vals[5]) and np.isclose(out["occ_roll_15"].iloc[6], np.mean(vals[3:6]))
-    assert np.isnan(out["occ_lag_60"].iloc[11]) and np.isclose(out["occ_lag_60"].iloc[12], vals[0])
+    out = spark.read.parquet(f"{tmpdir_path}/served").where("station_id = 's'").orderBy("ts").toPandas()
+    kept = [v for i, v in enumerate(vals) if i != 7]
+    assert np.allclose(out["occ"], kept)
+    assert np.isclose(out["occ_lag_5"].iloc[9], kept[8]) and np.isclose(out["occ_roll_15"].iloc[9], np.mean(kept[6:9]))
+    assert np.isnan(out["occ_lag_60"].iloc[11]) and np.isclose(out["occ_lag_60"].iloc[12], kept[0])
+    late = spark.read.parquet(f"{tmpdir_path}/late").toPandas()
+    got = {(r.station_id, r.event_id, r.served_ts.to_pydatetime()) for r in late.itertuples()}
+    assert len(late) == 3 and got == {("s", 103, base + dt.timedelta(minutes=20)), ("s", 107, base + dt.timedelta(minutes=45)), ("other", 100, base)}
