@@ -13,6 +13,7 @@ from dockcast import config
 from dockcast.functions.columns import calendar_columns
 from dockcast.operators import split as split_ops
 from dockcast.operators.dims import sized_join
+from dockcast.operators.quantile import grouped_quantile
 
 
 def _long(row: DataFrame, metrics: dict[str, str], horizons=config.HORIZONS) -> DataFrame:
@@ -63,7 +64,7 @@ def seasonal_median(train: DataFrame, value: str = "bikes_available") -> DataFra
     """Exact median of ``value`` per (station, dow, hour) on train."""
     cal = calendar_columns(F.col("ts"))
     t = train.select("station_id", cal["dow"].alias("dow"), cal["hour"].alias("hour"), value)
-    return t.groupBy("station_id", "dow", "hour").agg(F.median(value).alias("pred_seasonal"))
+    return grouped_quantile(t, ["station_id", "dow", "hour"], value, out="pred_seasonal")
 
 
 def seasonal_mae(with_targets: DataFrame, horizons=config.HORIZONS, q: float = config.SPLIT_TRAINTEST,
@@ -97,13 +98,3 @@ def bikespace_naive_mae(bike_feat: DataFrame, horizons=config.HORIZONS, q: float
         e = F.abs(F.col(f"y_{h}") - F.col("bikes_available"))
         aggs += [F.avg(e).alias(f"m{h}"), F.count(e).alias(f"n{h}")]
     return _long(test.agg(*aggs), {"mae_naive": "m{h}", "n_rows": "n{h}"}, horizons)
-
-
-def comparison(tables: dict[str, DataFrame]) -> DataFrame:
-    """Horizon x method table: ``{method: long df with mae_<method>}`` -> one column per method."""
-    longs = None
-    for method, df in tables.items():
-        part = df.select("horizon_min", F.lit(method).alias("method"), F.col(f"mae_{method}").alias("mae"))
-        longs = part if longs is None else longs.unionByName(part)
-    wide = longs.groupBy("horizon_min").pivot("method", list(tables)).agg(F.first("mae"))
-    return wide.select("horizon_min", *[F.col(m).alias(f"mae_{m}") for m in tables])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.columns import calendar_columns
 from dockcast.operators.dims import sized_join
+from dockcast.operators.quantile import grouped_quantile
 
 
 def station_mean(train: DataFrame) -> DataFrame:
@@ -15,16 +16,14 @@ def station_mean(train: DataFrame) -> DataFrame:
 
 
 def station_hour_median(train: DataFrame, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
-    """Median occupancy per (station, dow, hour); exact by default.
+    """Median occupancy per (station, dow, hour); exact by default, also for continuous values.
 
-    ``median`` aggregates a value->count map with partial aggregation, so its
-    state is bounded by the distinct occupancy values of a group (ratios of
-    small integers), not by the group's row count.  ``approx=True`` opts into
-    ``percentile_approx`` (fixed-size sketch) for continuous-valued data.
+    ``approx=True`` opts into ``percentile_approx`` (a fixed-size sketch).
     """
     t = _narrow(train)
-    med = F.percentile_approx("occ", 0.5, accuracy).cast("double") if approx else F.median("occ")
-    return t.groupBy("station_id", "dow", "hour").agg(med.alias("sta_hdh_occ"))
+    if not approx:
+        return grouped_quantile(t, ["station_id", "dow", "hour"], "occ", out="sta_hdh_occ")
+    return t.groupBy("station_id", "dow", "hour").agg(F.percentile_approx("occ", 0.5, accuracy).cast("double").alias("sta_hdh_occ"))
 
 
 def _narrow(train: DataFrame) -> DataFrame:

@@ -60,3 +60,76 @@ def exact_quantile(df: DataFrame, value: Column, q: float, bins: int = 1 << 20,
     picked = ranked.groupBy(*by).agg(*aggs) if by else ranked.agg(*aggs)
     res = F.col("_vlo") + (F.col("_p") - F.col("_rlo").cast("double")) * (F.col("_vhi") - F.col("_vlo"))
     return picked.select(*by, F.coalesce(F.col("_n"), F.lit(0)).alias("n"), res.alias(out))
+
+
+# Distinct values of one group that a single task may sort; groups beyond it are narrowed by ranges.
+MAX_DISTINCT = 1 << 20
+RANGES = 4096
+
+
+def grouped_quantile(df: DataFrame, by: list[str], value: str, q: float = 0.5, out: str = "q",
+                     max_distinct: int = MAX_DISTINCT) -> DataFrame:
+    """Exact q-quantile of ``value`` per group (nulls skipped, linear interpolation), also for continuous values.
+
+    The rows become counts per (group, value), with partial aggregation and dealt by
+    both, so a group that holds most rows is spread.  If no group has more than
+    ``max_distinct`` different values, prefix counts in each group give the result.
+    Otherwise groups are narrowed by ranges (``_narrowed``).  A group without a value
+    gives null.  Nulls in ``by`` form groups of their own.
+    """
+    from dockcast.operators.dims import materialise
+    keys = [f"_g{i}" for i in range(len(by))]
+    named = df.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], F.col(value).cast("double").alias("_v"))
+    counts = materialise(named.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    known = counts.where("_v IS NOT NULL")
+    most = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0] or 0
+    if most <= max_distinct:
+        group = Window.partitionBy(*keys)
+        upto = F.sum("_c").over(group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+        ranked = known.withColumns({"_n": F.sum("_c").over(group), "_upto": upto})
+        place = F.lit(float(q)) * (F.col("_n") - 1)
+        low = F.when(F.col("_upto") > F.floor(place), F.col("_v"))
+        high = F.when(F.col("_upto") > F.ceil(place), F.col("_v"))
+        found = ranked.groupBy(*keys).agg(F.max(place).alias("_p"), F.min(low).alias("_lo"), F.min(high).alias("_hi"))
+    else:
+        found = _narrowed(known, keys, q)
+    answer = F.col("_lo") + (F.col("_p") - F.floor("_p")) * (F.col("_hi") - F.col("_lo"))
+    solved = found.select(*keys, answer.alias(out))
+    groups = counts.select(*keys).distinct()
+    same = [F.col(f"g.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    return groups.alias("g").join(solved.alias("s"), same, "left").select(*[F.col(f"g.{k}").alias(b) for b, k in zip(by, keys)], f"s.{out}")
+
+
+def _narrowed(counts: DataFrame, keys: list[str], q: float) -> DataFrame:
+    """(keys, _p, _lo, _hi) by radix refinement: each round cuts a group's range in ``RANGES`` and keeps the one holding the rank.
+
+    A round counts values per (group, range) with partial aggregation, so no task holds
+    more of a group than its ranges; it knows each range's least and greatest value, so a
+    round either ends a group or narrows it at least by the factor ``RANGES``.
+    """
+    from dockcast.operators.dims import materialise
+    span = counts.groupBy(*keys).agg(F.min("_v").alias("_from"), F.max("_v").alias("_to"), F.sum("_c").alias("_n"))
+    open_ = materialise(span.select(*keys, "_from", "_to", F.lit(0).cast("long").alias("_before"),
+                                    (F.lit(float(q)) * (F.col("_n") - 1)).alias("_p")))
+    done = None
+    while not open_.isEmpty():
+        same = [F.col(f"c.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+        inside = (counts.alias("c").join(open_.alias("o"), same).where("_v >= _from AND _v <= _to")
+                  .select(*[f"c.{k}" for k in keys], "_v", "_c", "_from", "_to", "_before", "_p"))
+        part = F.when(F.col("_to") > F.col("_from"),
+                      F.least(F.floor((F.col("_v") - F.col("_from")) / (F.col("_to") - F.col("_from")) * RANGES), F.lit(RANGES - 1))).otherwise(F.lit(0))
+        ranges = inside.groupBy(*keys, "_before", "_p", part.alias("_r")).agg(
+            F.sum("_c").alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        w = Window.partitionBy(*keys).orderBy("_r")
+        upto = F.col("_before") + F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
+        placed = ranges.withColumns({"_upto": upto, "_next": F.lead("_least").over(w)}).withColumn("_start", F.col("_upto") - F.col("_c"))
+        # the range with the lower rank; the upper rank is in it too, or is the next range's least value
+        hit = placed.where((F.floor("_p") >= F.col("_start")) & (F.floor("_p") < F.col("_upto")))
+        apart = F.ceil("_p") >= F.col("_upto")
+        state = materialise(hit.select(*keys, "_p", "_least", "_most", "_start", "_next", apart.alias("_apart"),
+                                       (apart | (F.col("_least") == F.col("_most"))).alias("_done")))
+        ended = state.where("_done").select(*keys, "_p", F.col("_most").alias("_lo"),
+                                            F.when(F.col("_apart"), F.col("_next")).otherwise(F.col("_most")).alias("_hi"))
+        done = ended if done is None else done.unionByName(ended)
+        open_ = state.where("NOT _done").select(*keys, F.col("_least").alias("_from"), F.col("_most").alias("_to"), F.col("_start").alias("_before"), "_p")
+    return done

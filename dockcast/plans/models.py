@@ -9,7 +9,7 @@ recomputing the feature plan, and a lost executor re-reads them.
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -146,15 +146,6 @@ def fit_bikes(train: DataFrame, feat_cols, label: str, key=("station_id", "ts"),
     return fit_patient(d, feat_cols, config.GBT_BIKES, max_iter)[0]
 
 
-def fit_ridge(train: DataFrame, feat_cols, label: str, alpha: float = 1.0):
-    """Ridge with the summed-loss penalty of scikit-learn: regParam = alpha * std_pop(y) / n."""
-    st = train.agg(F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")).collect()[0]
-    reg = alpha * (st["s"] or 0.0) / max(st["n"], 1)
-    lr = LinearRegression(featuresCol="features", labelCol=label, elasticNetParam=0.0, regParam=reg,
-                          standardization=False, solver="normal")
-    return lr.fit(assemble(train, feat_cols))
-
-
 def feature_importance(model, feat_cols) -> list[tuple[str, float]]:
     """(feature, importance) sorted descending; as long as the feature list."""
     imp = model.featureImportances.toArray()

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast import config
-from dockcast.operators import features, split
+from dockcast.operators import features, gram, split
 from dockcast.plans import artifacts, experiment, models, scoring
 from dockcast.plans.catalog import KEYS, register
-from dockcast.plans.q_panel import MODEL_FEATURES, _clean_cols
+from dockcast.plans.q_panel import BF_ALL, BF_SQL, MODEL_FEATURES, _clean_cols, _notnull
+from dockcast.plans.sqltext import STATION_TS, with_
 from dockcast.session import table_folder
 
 ROUNDS = 8
@@ -66,20 +67,33 @@ def _bike_frames(c):
     return split.split_frames(bf, config.SPLIT_TRAINTEST)
 
 
+_BIKE_Y = [f"y_{h}" for h in H]
+
+
 @register("ridge", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l")])
 def ridge(c):
-    """Ridge (alpha 1, scikit-learn penalty scaling) per horizon on the bike-space frame."""
+    """Ridge (alpha 1, summed loss) of every horizon on the bike-space frame: one pass for all moments, one to score."""
     tr, te = _bike_frames(c)
-    parts = []
-    for h in H:
-        m = models.fit_ridge(tr, BIKE_X, f"y_{h}")
-        p = m.transform(models.assemble(te, BIKE_X))
-        parts.append(p.agg(F.lit(h).alias("horizon_min"), F.avg(F.abs(F.col(f"y_{h}") - F.col("prediction"))).alias("mae_model"),
-                           F.count(F.lit(1)).alias("n_test")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    fitted = gram.ridge_solutions(gram.moments(tr, BIKE_X, _BIKE_Y), BIKE_X, _BIKE_Y)
+    errors = [F.avg(F.abs(F.col(y).cast("double") - gram.linear(BIKE_X, *fitted[y]))).alias(f"e{h}") for h, y in zip(H, _BIKE_Y)]
+    one = te.agg(F.count(F.lit(1)).alias("n_test"), *errors)
+    rows = [F.struct(F.lit(h).alias("horizon_min"), F.col(f"e{h}").alias("mae_model"), F.col("n_test")) for h in H]
+    return one.select(F.inline(F.array(*rows)))
+
+
+def _moments_sql() -> str:
+    pairs = gram.moment_pairs(BIKE_X, _BIKE_Y)
+    x = lambda c: "CAST(1 AS DOUBLE)" if c == "1" else f"CAST({c} AS DOUBLE)"
+    return "m AS (" + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) AS n, avg({x(a)} * {x(b)}) AS mean_product FROM tr" for a, b in pairs) + ")"
+
+
+@register("ridge_moments", [("a", "s"), ("b", "s"), ("n", "l"), ("mean_product", "q")],
+          with_(STATION_TS, BF_SQL, f"bfc AS (SELECT * FROM bf WHERE {_notnull(BF_ALL)})",
+                "bcut AS (SELECT floor(quantile_cont(epoch_us(ts), 0.7)) AS cut_us FROM bfc)",
+                "tr AS (SELECT bfc.* FROM bfc, bcut WHERE epoch_us(bfc.ts) <= bcut.cut_us)", _moments_sql()) + "SELECT {out} FROM m")
+def ridge_moments(c):
+    """Second moments of the bike-space inputs and targets on train: all that the ridge models are solved from."""
+    return gram.moments(_bike_frames(c)[0], BIKE_X, _BIKE_Y)
 
 
 @register("gbt_multi", [("horizon_min", "i"), ("mae_model", "q"), ("n_test", "l")])

@@ -135,11 +135,30 @@ def _clean_cols(h: int) -> list[str]:
 _ALL_CLEAN = required_columns(MODEL_FEATURES, *H)
 
 
-@register("clean_horizon", KEYS + [("is_train", "b"), ("occ_30", "q"), ("occ_delta_target_30", "q")],
-          with_(*FEATS, CUT_SQL, DT_SQL) + f"SELECT {{out}} FROM dt WHERE {_notnull(_clean_cols(30))}")
+def _long_horizons(c, ok, columns):
+    """A row per horizon and row of the labelled frame that is fully defined for it: one read for all horizons."""
+    rows = [F.when(ok(h), F.struct(F.lit(h).alias("horizon_min"), *columns(h))) for h in H]
+    return c.labelled.withColumn("_h", F.explode(F.array_compact(F.array(*rows))))
+
+
+def _defined(h: int):
+    out = F.lit(True)
+    for x in _clean_cols(h):
+        out = out & F.col(x).isNotNull()
+    return out
+
+
+def _per_horizon_sql(columns, where) -> str:
+    return " UNION ALL ".join(f"SELECT station_id, ts, event_id, is_train, {h} AS horizon_min, {columns(h)} FROM dt WHERE {where(h)}" for h in H)
+
+
+@register("clean_horizon", KEYS + [("horizon_min", "i"), ("is_train", "b"), ("y_occ", "q"), ("y_delta", "q")],
+          with_(*FEATS, CUT_SQL, DT_SQL) + "SELECT {out} FROM ("
+          + _per_horizon_sql(lambda h: f"occ_{h} AS y_occ, occ_delta_target_{h} AS y_delta", lambda h: _notnull(_clean_cols(h))) + ") x")
 def clean_horizon(c):
-    """Rows fully defined for the 30-minute model (features, target, anchor, capacity)."""
-    return c.labelled.dropna(subset=_clean_cols(30))
+    """Rows fully defined for the model of each horizon (features, target, anchor, capacity)."""
+    d = _long_horizons(c, _defined, lambda h: [F.col(f"occ_{h}").alias("y_occ"), F.col(f"occ_delta_target_{h}").alias("y_delta")])
+    return d.select(*[k for k, _ in KEYS], "is_train", "_h.*")
 
 
 @register("clean_all_horizons", KEYS + [("is_train", "b")],
@@ -148,12 +167,13 @@ def clean_all_horizons(c):
     return c.labelled.dropna(subset=_ALL_CLEAN)
 
 
-@register("feature_matrix", KEYS + [(x, "q") for x in MODEL_FEATURES] + [("occ_delta_target_15", "q")],
-          with_(*FEATS, CUT_SQL, DT_SQL) + f"SELECT {{out}} FROM dt WHERE is_train AND {_notnull(_clean_cols(15))}")
+@register("feature_matrix", KEYS + [("horizon_min", "i")] + [(x, "q") for x in MODEL_FEATURES] + [("y_delta", "q")],
+          with_(*FEATS, CUT_SQL, DT_SQL) + "SELECT {out} FROM ("
+          + _per_horizon_sql(lambda h: ", ".join(MODEL_FEATURES) + f", occ_delta_target_{h} AS y_delta", lambda h: f"is_train AND {_notnull(_clean_cols(h))}") + ") x")
 def feature_matrix(c):
-    """Ordered model inputs + label of the 15-minute train matrix (what the assembler reads)."""
-    d = c.labelled.where("is_train").dropna(subset=_clean_cols(15))
-    return d.select(*[k for k, _ in KEYS], *MODEL_FEATURES, "occ_delta_target_15")
+    """Ordered model inputs + label of each horizon's train matrix (what the assembler reads)."""
+    d = _long_horizons(c, lambda h: F.col("is_train") & _defined(h), lambda h: [F.col(f"occ_delta_target_{h}").alias("y_delta")])
+    return d.select(*[k for k, _ in KEYS], *MODEL_FEATURES, "_h.*")
 
 
 _TRAIN = "(SELECT panel.* FROM panel, cut WHERE epoch_us(panel.ts) <= cut.cut_us)"
@@ -232,3 +252,38 @@ def panel_gaps(c):
     """Per station: expected vs present 5-minute ticks (row lags mean minutes only without gaps)."""
     from dockcast.operators.grid import gap_report
     return gap_report(c.panel)
+
+
+@register("missing_ticks", [("station_id", "s"), ("day", "t"), ("n_missing", "l"), ("first_missing", "t")],
+          with_(*BASE) + """SELECT {out} FROM (
+            SELECT station_id, date_trunc('day', tick) AS day, count(*) AS n_missing, min(tick) AS first_missing FROM (
+              SELECT station_id, unnest(generate_series(min(tick), max(tick), INTERVAL 5 MINUTES)) AS tick
+              FROM (SELECT station_id, make_timestamp(epoch_us(ts) - epoch_us(ts) % 300000000) AS tick FROM panel) t GROUP BY station_id
+            ) g WHERE NOT EXISTS (SELECT 1 FROM panel p WHERE p.station_id = g.station_id
+                                  AND make_timestamp(epoch_us(p.ts) - epoch_us(p.ts) % 300000000) = g.tick)
+            GROUP BY ALL) x""")
+def missing_ticks(c):
+    """Grid ticks without a reading, counted per station and day, with the day's first."""
+    from dockcast.functions.columns import floor_ts
+    from dockcast.operators.grid import missing_ticks as missing
+    return missing(c.panel).groupBy("station_id", floor_ts("tick", 86_400).alias("day")).agg(
+        F.count(F.lit(1)).alias("n_missing"), F.min("tick").alias("first_missing"))
+
+
+_TLAGS = [k * config.FREQ_MIN for k in config.LAG_STEPS]
+_TROLLS = [k * config.FREQ_MIN for k in config.ROLL_STEPS]
+_TSQL = ", ".join([f"max(occ) OVER (PARTITION BY station_id ORDER BY ts RANGE BETWEEN INTERVAL {m} MINUTES PRECEDING AND INTERVAL {m} MINUTES PRECEDING) "
+                   f"AS occ_tlag_{m}" for m in _TLAGS]
+                  + [f"{fn}(occ) OVER (PARTITION BY station_id ORDER BY ts RANGE BETWEEN INTERVAL {m} MINUTES PRECEDING AND INTERVAL 1 SECOND PRECEDING) "
+                     f"AS occ_t{name}_{m}" for m in _TROLLS for fn, name in (("avg", "mean"), ("count", "count"))])
+
+
+@register("occ_lags_time", [("station_id", "s"), ("ts", "t"), ("occ", "q")] + [(f"occ_tlag_{m}", "q") for m in _TLAGS]
+          + [x for m in _TROLLS for x in ((f"occ_tmean_{m}", "q"), (f"occ_tcount_{m}", "l"))],
+          with_(*BASE, """grid AS (SELECT station_id, make_timestamp(epoch_us(ts) - epoch_us(ts) % 300000000) AS ts,
+            arg_max({'o': occ}, {'ts': panel.ts, 'id': event_id}).o AS occ FROM panel GROUP BY 1, 2)""")
+          + f"SELECT {{out}} FROM (SELECT *, {_TSQL} FROM grid) x")
+def occ_lags_time(c):
+    """Lags and means by time over the 5-minute grid: minutes, not rows, whatever is missing."""
+    from dockcast.operators.timewindow import on_grid, time_lags
+    return time_lags(on_grid(c.panel))

@@ -187,18 +187,20 @@ def score_nested(c):
 _RECON_G = 0.7
 
 
-@register("reconstruct", KEYS + [("y_hat", "q"), ("y_true", "q")],
-          with_(*FEATS, CUT_SQL, DT_SQL) + f"""SELECT {{out}} FROM (SELECT station_id, ts, event_id,
-             LEAST(GREATEST(CAST(occ_now AS DOUBLE) + CAST({_RECON_G!r} AS DOUBLE) * CAST(occ_delta_15 AS DOUBLE),
+@register("reconstruct", KEYS + [("horizon_min", "i"), ("y_hat", "q"), ("y_true", "q")],
+          with_(*FEATS, CUT_SQL, DT_SQL) + "SELECT {out} FROM (" + " UNION ALL ".join(f"""SELECT station_id, ts, event_id, {h} AS horizon_min,
+             LEAST(GREATEST(CAST(occ_now AS DOUBLE) + CAST({_RECON_G!r} AS DOUBLE) * CAST(occ_delta_{h} AS DOUBLE),
                             CAST(0 AS DOUBLE)), CAST(1 AS DOUBLE)) * CAST(capacity AS DOUBLE) AS y_hat,
-             occ_15 * capacity AS y_true
-             FROM dt WHERE NOT is_train AND occ_delta_15 IS NOT NULL AND occ_15 IS NOT NULL) x""")
+             occ_{h} * capacity AS y_true
+             FROM dt WHERE NOT is_train AND occ_delta_{h} IS NOT NULL AND occ_{h} IS NOT NULL""" for h in H) + ") x")
 def reconstruct(c):
-    """Bikes from a Δ-occupancy forecast: clip(occ_now + γ·Δ, 0, 1)·capacity (stand-in Δ)."""
+    """Bikes from a Δ-occupancy forecast of each horizon: clip(occ_now + γ·Δ, 0, 1)·capacity (stand-in Δ)."""
     from dockcast.plans.models import reconstruct_bikes
-    te = c.labelled.where(~F.col("is_train") & F.col("occ_delta_15").isNotNull() & F.col("occ_15").isNotNull())
-    return te.withColumns({"y_hat": reconstruct_bikes(F.col("occ_now"), F.lit(_RECON_G), F.col("occ_delta_15"), F.col("capacity")),
-                           "y_true": F.col("occ_15") * F.col("capacity")})
+    rows = [F.when(F.col(f"occ_delta_{h}").isNotNull() & F.col(f"occ_{h}").isNotNull(), F.struct(
+        F.lit(h).alias("horizon_min"), reconstruct_bikes(F.col("occ_now"), F.lit(_RECON_G), F.col(f"occ_delta_{h}"), F.col("capacity")).alias("y_hat"),
+        (F.col(f"occ_{h}") * F.col("capacity")).alias("y_true"))) for h in H]
+    te = c.labelled.where(~F.col("is_train")).withColumn("_h", F.explode(F.array_compact(F.array(*rows))))
+    return te.select(*[k for k, _ in KEYS], "_h.*")
 
 
 def _gamma_grid_sql() -> str:
