@@ -12,7 +12,7 @@ from dockcast import config
 __all__ = [
     "EPOCH", "micros", "from_micros", "floor_ts", "clip01", "clip", "occupancy",
     "occupancy_serving", "hour_of", "weekday_of", "calendar_columns", "rain_flag",
-    "quantize", "utc_normalise", "gamma_for", "delta_to_bikes", "utc_stamp",
+    "quantize", "utc_normalise", "try_utc", "gamma_for", "delta_to_bikes", "utc_stamp",
 ]
 
 def EPOCH() -> Column:
@@ -20,6 +20,8 @@ def EPOCH() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 _US_PER_S = 1_000_000
+# ISO-8601 text that ends in a zone
+_ZONED = r"[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 
 def micros(ts: Column | str) -> Column:
@@ -109,8 +111,12 @@ def utc_normalise(s: Column) -> Column:
     Naive text is taken as UTC; text with a zone suffix (Z, +02:00) names an
     instant, which is converted to its UTC wall clock.
     """
-    zoned = s.rlike(r"[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|z|[+-][0-9]{2}(:?[0-9]{2})?)$")
-    return F.when(zoned, from_micros(F.unix_micros(F.to_timestamp(s)))).otherwise(F.to_timestamp_ntz(s))
+    return F.when(s.rlike(_ZONED), from_micros(F.unix_micros(F.to_timestamp(s)))).otherwise(F.to_timestamp_ntz(s))
+
+
+def try_utc(s: Column) -> Column:
+    """``utc_normalise`` with null for text that is no time, under any ANSI setting."""
+    return F.when(s.rlike(_ZONED), from_micros(F.unix_micros(s.try_cast("timestamp")))).otherwise(s.try_cast("timestamp_ntz"))
 
 
 def gamma_for(gammas: Column, horizon: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockcast.operators.dims import materialise, sized_join
 from dockcast.operators.quantile import exact_quantile
 
 
@@ -19,10 +20,13 @@ def top_variance(panel: DataFrame, n: int = 200, value: str = "bikes_available")
     return v.orderBy(F.desc_nulls_last("var_bikes"), F.asc("station_id")).limit(n)
 
 
-def dev_sample(panel: DataFrame, n: int = 200) -> DataFrame:
-    """Rows of the n most variable stations (left semi join with the n keys)."""
-    top = top_variance(panel, n).select("station_id")
-    return panel.join(F.broadcast(top), "station_id", "left_semi")   # n rows, bounded by n
+def dev_sample(panel: DataFrame, n: int = 200, share: float | None = None) -> DataFrame:
+    """Rows of the n most variable stations, or of that ``share`` of them (left semi join with their keys)."""
+    if share is None:
+        return panel.join(F.broadcast(top_variance(panel, n).select("station_id")), "station_id", "left_semi")   # n rows, bounded by n
+    v = materialise(station_variance(panel))
+    top = v.orderBy(F.desc_nulls_last("var_bikes"), F.asc("station_id")).limit(int(v.count() * share)).select("station_id")
+    return sized_join(panel, top, "station_id", "left_semi")
 
 
 def panel_counts(panel: DataFrame, approx: bool = False) -> DataFrame:
@@ -33,10 +37,12 @@ def panel_counts(panel: DataFrame, approx: bool = False) -> DataFrame:
 
 def occ_summary(panel: DataFrame, col: str = "occ") -> DataFrame:
     """min / mean / exact median / max; the median is selected without a
-    single-task value map (see ``exact_quantile``)."""
-    basic = panel.agg(F.min(col).cast("double").alias("occ_min"), F.avg(col).alias("occ_mean"),
-                      F.max(col).cast("double").alias("occ_max"))
-    med = exact_quantile(panel, F.col(col), 0.5, out="occ_median").select("occ_median")
+    single-task value map (see ``exact_quantile``).  The one column is stored
+    once, so the panel's plan runs once, not for every pass of the median."""
+    narrow = materialise(panel.select(col))
+    basic = narrow.agg(F.min(col).cast("double").alias("occ_min"), F.avg(col).alias("occ_mean"),
+                       F.max(col).cast("double").alias("occ_max"))
+    med = exact_quantile(narrow, F.col(col), 0.5, out="occ_median").select("occ_median")
     return basic.crossJoin(med).select("occ_min", "occ_mean", "occ_median", "occ_max")
 
 

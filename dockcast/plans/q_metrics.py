@@ -155,6 +155,16 @@ def dev_sample(c):
     return quality.dev_sample(c.raw, 200)
 
 
+@register("dev_sample_quarter", KEYS,
+          with_(STATION_TS) + """SELECT {out} FROM station_ts WHERE station_id IN (
+             SELECT station_id FROM (SELECT station_id, var_samp(CAST(bikes_available AS DOUBLE)) AS v, count(*) OVER () // 4 AS k
+                                     FROM station_ts GROUP BY station_id)
+             QUALIFY row_number() OVER (ORDER BY v DESC NULLS LAST, station_id) <= k)""")
+def dev_sample_quarter(c):
+    """Rows of the most variable quarter of the stations, so that the sample leaves stations out at any scale."""
+    return quality.dev_sample(c.raw, share=0.25)
+
+
 @register("panel_counts", [("n_rows", "l"), ("n_stations", "l")],
           with_(*BASE) + "SELECT {out} FROM (SELECT count(*) AS n_rows, count(DISTINCT station_id) AS n_stations FROM panel) x")
 def panel_counts(c):

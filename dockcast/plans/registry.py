@@ -6,7 +6,7 @@ import importlib
 
 from dockcast.plans.catalog import ORACLE, QUERIES, SPECS
 
-MODULES = ("q_panel", "q_weather", "q_asof", "q_metrics", "q_serving", "q_ingest", "q_online", "q_models")
+MODULES = ("q_panel", "q_weather", "q_asof", "q_files", "q_metrics", "q_serving", "q_ingest", "q_online", "q_models")
 
 
 def load() -> None:

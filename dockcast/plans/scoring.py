@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from dockcast import config
 from dockcast.functions.columns import calendar_columns, clip, clip01, delta_to_bikes, gamma_for, rain_flag
-from dockcast.operators.weather import fill_hourly
 
 STORED_FEATURES = config.feature_list(use_ema=False, use_sta=False, use_weather=True)
 
@@ -71,10 +70,15 @@ def history_features(req: DataFrame, mode: str = "consistent") -> DataFrame:
 
 
 def current_weather(hourly: DataFrame) -> DataFrame:
-    """The latest hourly row (values forward filled, missing -> 0.0): exactly one row."""
-    w = fill_hourly(hourly).orderBy(F.desc("ts")).limit(1)
-    return w.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in config.WEATHER_COLS]) \
-            .withColumn("is_rain", rain_flag(F.col("precipitation")))
+    """The latest known value of each variable (missing -> 0.0): exactly one row, or none for an empty table.
+
+    ``max_by`` over the rows where a variable is known is its forward filled value at
+    the last hour; one aggregate with partial aggregation, no order over all hours.
+    """
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("ts"))).alias(c) for c in config.WEATHER_COLS]
+    one = hourly.agg(F.count(F.lit(1)).alias("_n"), *last).where("_n > 0")
+    return (one.select(*[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in config.WEATHER_COLS])
+            .withColumn("is_rain", rain_flag(F.col("precipitation"))))
 
 
 def with_weather(req: DataFrame, weather_row: DataFrame) -> DataFrame:
