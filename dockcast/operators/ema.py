@@ -1,139 +1,107 @@
-"""Exponential moving averages of the previous occupancies (EMA features).
-
-The recursion ``y = (1-a) y + a x`` with pandas' ``adjust=False`` null rule
-(a value carries over nulls while the old weight keeps decaying) is a
-sequential scan; Spark has no native recursive window, so this is the one
-feature that runs in Python, on Arrow batches.
-
-The scan's whole state is two numbers per alpha: the average ``y`` and the
-rows since the last value.  It is carried, so results are exact at any length
-and over any run of nulls:
-
-* ``key`` plan: from one Arrow batch of a station to the next;
-* ``blocked`` plan: every block of rows is summarised as an affine step of
-  the state, the steps of a station are composed over its small block
-  table, and each block is replayed from its exact start.
+"""Exponential moving averages of the previous occupancies (EMA features) as an affine scan.
+
+pandas' ``adjust=False`` rule is a recursion over the known values: a value carries
+over nulls while the old weight keeps decaying, so with ``gap`` rows since the value
+before, ``y' = (old y + a x) / (old + a)`` with ``old = (1 - a) ** gap``.  That is an
+affine step of ``y``, and steps compose, so no task needs a station's whole history:
+
+1. the known values of a station are numbered and cut into blocks of ``BLOCK``;
+   each block is one array with the step of every value;
+2. ``aggregate`` composes a block's steps into one; its first value then follows
+   from the steps of the ``LOOK_BACK`` blocks before (a full block shrinks what came
+   before it by ``(1 - a) ** BLOCK`` at least, so older blocks are below the last
+   bit of a double; the station's first value has no past and is exact);
+3. a second ``aggregate`` replays the block from its start;
+4. a row takes the average after the last value known before it: it knows that
+   value's number, hence its block and its place in it.
+
+All of it is DataFrame functions.  Only the value column is in the arrays; the wide
+rows meet the finished averages once.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dockcast import config
+from dockcast.operators.dims import sized_join
 
 ALPHAS = {"occ_ema_fast": config.EMA_FAST_ALPHA, "occ_ema_slow": config.EMA_SLOW_ALPHA}
 EMA_COLUMNS = (*ALPHAS, "occ_momentum")
+BLOCK = 256
+LOOK_BACK = 3
+# row number of a row in its station, and values known before it
+ROW, BEFORE = "_row", "_before"
 
 
-def _run(x: np.ndarray, alpha: float, y: float, nulls: int) -> np.ndarray:
-    """Average after each row of ``x``, continuing from ``y`` and ``nulls`` rows without a value since."""
-    before = np.empty(0) if np.isnan(y) else np.concatenate([[y], np.full(nulls, np.nan)])
-    return pd.Series(np.concatenate([before, x])).ewm(alpha=alpha, adjust=False).mean().to_numpy()[len(before):]
+def numbered(w: Window, value: str = "occ") -> dict[str, Column]:
+    """``ROW`` and ``BEFORE`` over a window that holds a station's rows in order."""
+    return {ROW: F.row_number().over(w).cast("long"), BEFORE: F.count(value).over(w.rowsBetween(Window.unboundedPreceding, -1))}
 
 
-def _trailing_nulls(x: np.ndarray, nulls: int) -> int:
-    known = np.flatnonzero(~np.isnan(x))
-    return int(len(x) - 1 - known[-1]) if len(known) else nulls + len(x)
+def _step(s: Column, alpha: float) -> tuple[Column, Column]:
+    """(A, B) of the step ``y' = A y + B`` for a value ``s.x`` that is ``s.gap`` rows after the one before (null: there is none)."""
+    old = F.pow(F.lit(1.0 - alpha), s["gap"])
+    return (F.when(s["gap"].isNull(), F.lit(0.0)).otherwise(old / (old + alpha)),
+            F.when(s["gap"].isNull(), s["x"]).otherwise(F.lit(alpha) * s["x"] / (old + alpha)))
 
 
-def _replay(pdf: pd.DataFrame, groups: list[str], carried, starts: bool):
-    """EMA columns of a batch sorted by (groups, order); returns the state after its last row.
+def averages(rows: DataFrame, keys: list[str], value: str = "occ") -> DataFrame:
+    """(keys, _block, _averages): the averages after each known value, in arrays of up to ``BLOCK``.
 
-    ``carried`` is (group, state) of the batch before; with ``starts`` a new
-    group begins from the columns ``_y_*`` and ``_nulls``, else from nothing.
-    """
-    x = pdf["occ"].to_numpy(dtype="float64", na_value=np.nan)
-    ids = pdf.groupby(groups, sort=False, dropna=False).ngroup().to_numpy()
-    cuts = np.concatenate([np.flatnonzero(np.diff(ids, prepend=-1)), [len(x)]])
-    out = {c: np.empty(len(x)) for c in ALPHAS}
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        group = tuple(pdf[g].iat[a] for g in groups)
-        if carried is not None and carried[0] == group:
-            state = carried[1]
-        elif starts:
-            nulls = pdf["_nulls"].iat[a]
-            state = ({c: float(pdf[f"_y_{c}"].iat[a]) for c in ALPHAS}, 0 if pd.isna(nulls) else int(nulls))
-        else:
-            state = ({c: np.nan for c in ALPHAS}, 0)
-        after = {}
-        for c, alpha in ALPHAS.items():
-            y = _run(x[a:b], alpha, state[0][c], state[1])
-            out[c][a], out[c][a + 1:b] = state[0][c], y[:-1]             # a row sees the rows before it
-            after[c] = y[-1]
-        carried = (group, (after, _trailing_nulls(x[a:b], state[1])))
-    for c in ALPHAS:
-        pdf[c] = out[c].astype("float32")
-    pdf["occ_momentum"] = (pdf["occ_ema_fast"] - pdf["occ_ema_slow"]).astype("float32")
-    return pdf, carried
-
-
-def _with_ema(df: DataFrame, groups: list[str], order: list[str], starts: bool) -> DataFrame:
-    drop = [f"_y_{c}" for c in ALPHAS] + ["_nulls"] if starts else []
-    fields = [f for f in df.schema.fields if f.name not in drop] + [T.StructField(c, T.FloatType(), True) for c in EMA_COLUMNS]
-    names = [f.name for f in fields]
-
-    def per_partition(batches):
-        carried = None
-        for pdf in batches:
-            if len(pdf):
-                pdf, carried = _replay(pdf.reset_index(drop=True), groups, carried, starts)
-                yield pdf[names]
-    return df.sortWithinPartitions(*groups, *order).mapInPandas(per_partition, T.StructType(fields))
-
-
-def add_ema_grouped(df: DataFrame, seq) -> DataFrame:
-    """``key`` plan: EMA columns on the output of a window over ``seq``'s partitions, which are sorted already."""
-    return _with_ema(df, seq.keys, seq.sort_cols(df), starts=False)
-
-
-def add_ema_blocked(df: DataFrame, seq, block: str, row: str) -> DataFrame:
-    """``blocked`` plan: EMA columns on indexed rows (``row`` numbers a station's rows, ``block`` groups them).
-
-    Blocks are bounded, so one block is held in memory; a station's block table
-    has a row per block.
+    ``rows`` has the keys, ``ROW``, ``BEFORE`` and the value.
     """
-    keys = seq.keys
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    steps = T.StructType([*[T.StructField(k, kinds[k]) for k in keys], T.StructField(block, T.LongType()),
-                          T.StructField("_n", T.LongType()), T.StructField("_first", T.LongType()), T.StructField("_last", T.LongType()),
-                          T.StructField("_x", T.DoubleType()),
-                          *[T.StructField(f"_{p}_{c}", T.DoubleType()) for c in ALPHAS for p in ("a", "b")]])
-
-    def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values(row)["occ"].to_numpy(dtype="float64", na_value=np.nan)
-        known = np.flatnonzero(~np.isnan(x))
-        out = {**{k: pdf[k].iat[0] for k in keys}, block: pdf[block].iat[0], "_n": len(x), "_first": None, "_last": None, "_x": None}
-        if len(known):
-            out |= {"_first": known[0], "_last": known[-1], "_x": x[known[0]]}
-            for c, alpha in ALPHAS.items():
-                # the last average is affine in the first: read it at 0 and at 1
-                zero, one = (_run(np.concatenate([[y], x[known[0] + 1:]]), alpha, np.nan, 0)[-1] for y in (0.0, 1.0))
-                out |= {f"_a_{c}": one - zero, f"_b_{c}": zero}
-        return pd.DataFrame([out], columns=steps.fieldNames())
-
-    begun = T.StructType([*steps.fields[:len(keys) + 1], *[T.StructField(f"_y_{c}", T.DoubleType()) for c in ALPHAS],
-                          T.StructField("_nulls", T.LongType())])
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, nulls, out = {c: np.nan for c in ALPHAS}, 0, []
-        for r in pdf.sort_values(block).to_dict("records"):
-            out.append({**{k: r[k] for k in keys}, block: r[block], **{f"_y_{c}": y[c] for c in ALPHAS}, "_nulls": nulls})
-            if pd.isna(r["_x"]):
-                nulls += int(r["_n"])
-                continue
-            for c, alpha in ALPHAS.items():
-                old = (1 - alpha) ** (nulls + int(r["_first"]) + 1)
-                first = r["_x"] if np.isnan(y[c]) else (old * y[c] + alpha * r["_x"]) / (old + alpha)
-                y[c] = r[f"_a_{c}"] * first + r[f"_b_{c}"]
-            nulls = int(r["_n"] - 1 - r["_last"])
-        return pd.DataFrame(out, columns=begun.fieldNames())
-
-    table = df.select(*keys, block, row, "occ").groupBy(*keys, block).applyInPandas(step, steps)
-    starts = table.groupBy(*keys).applyInPandas(compose, begun)
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*keys, block)]
-    placed = df.alias("d").join(starts.alias("s"), same, "inner").select("d.*", *[f"s._y_{c}" for c in ALPHAS], "s._nulls")
-    return _with_ema(placed.repartition(*keys, block), [*keys, block], [row], starts=True)
+    known = rows.where(F.col(value).isNotNull()).select(*keys, F.expr(f"{BEFORE} DIV {BLOCK}").alias("_block"),
+                                                        F.struct(F.col(ROW).alias("row"), F.col(value).cast("double").alias("x")).alias("_v"))
+    blocks = known.groupBy(*keys, "_block").agg(F.sort_array(F.collect_list("_v")).alias("_v"))        # at most BLOCK values
+    station = Window.partitionBy(*keys).orderBy("_block")                                             # a row per block
+    blocks = blocks.withColumn("_prior", F.lag(F.element_at("_v", -1)["row"]).over(station))
+    steps = F.transform("_v", lambda v, i: F.struct(v["x"].alias("x"), (v["row"] - F.when(i == 0, F.col("_prior")).otherwise(
+        F.get("_v", i - 1)["row"])).cast("double").alias("gap")))
+    blocks = blocks.select(*keys, "_block", steps.alias("_steps"))
+
+    def composed(alpha: float) -> Column:
+        def merge(acc, s):
+            a, b = _step(s, alpha)
+            return F.struct((a * acc["p"]).alias("p"), (a * acc["q"] + b).alias("q"))
+        return F.aggregate("_steps", F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("q")), merge)
+
+    whole = blocks.withColumn("_whole", F.struct(*[composed(a).alias(c) for c, a in ALPHAS.items()]))
+    past = F.collect_list("_whole").over(station.rowsBetween(-LOOK_BACK, -1))
+
+    def start(c: str) -> Column:
+        return F.aggregate("_past", F.lit(0.0), lambda y, w: w[c]["p"] * y + w[c]["q"])
+
+    def replay(y, s):
+        now = F.struct(*[sum(_affine(s, a, y["y"][c]), F.lit(0.0)).alias(c) for c, a in ALPHAS.items()])
+        return F.struct(now.alias("y"), F.concat(y["out"], F.array(now)).alias("out"))
+
+    pair = "struct<" + ", ".join(f"{c}: double" for c in ALPHAS) + ">"
+    begin = F.struct(F.struct(*[start(c).alias(c) for c in ALPHAS]).alias("y"), F.array().cast(f"array<{pair}>").alias("out"))
+    return whole.withColumn("_past", past).select(*keys, "_block", F.aggregate("_steps", begin, replay, lambda y: y["out"]).alias("_averages"))
+
+
+def _affine(s: Column, alpha: float, y: Column) -> tuple[Column, Column]:
+    a, b = _step(s, alpha)
+    return a * y, b
+
+
+def with_ema(frame: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """EMA columns on ``frame``, which has ``BEFORE``; ``rows`` are the same rows, narrow (see ``averages``)."""
+    names = [f"_key{i}" for i in range(len(keys))]
+    table = averages(rows, keys).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], "_block", "_averages")
+    at = F.col(BEFORE) - 1
+    d = frame.withColumn("_at", F.when(at >= 0, F.expr(f"({BEFORE} - 1) DIV {BLOCK}")))
+    same = F.col("_at") == F.col("_block")
+    for k, n in zip(keys, names):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    d = sized_join(d, table, same, "left", max_rows=MAX_BLOCKS)
+    y = F.get("_averages", F.pmod(at, F.lit(BLOCK)).cast("int"))
+    d = d.withColumns({c: y[c].cast("float") for c in ALPHAS})
+    d = d.withColumn("occ_momentum", (F.col("occ_ema_fast") - F.col("occ_ema_slow")).cast("float"))
+    return d.drop(*names, "_block", "_averages", "_at", BEFORE, ROW)
+
+
+# blocks of 16 bytes a value: at most 64 MB are broadcast
+MAX_BLOCKS = (64 << 20) // (16 * BLOCK)

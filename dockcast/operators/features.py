@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from dockcast import config
 from dockcast.functions.columns import calendar_columns
-from dockcast.operators.ema import add_ema_blocked, add_ema_grouped
-from dockcast.operators.sequence import Sequencer
+from dockcast.operators import ema
+from dockcast.operators.sequence import KNOWN_BEFORE, ROW_NUMBER, Sequencer
 
 LOOK_BACK = max(max(config.ROLL_STEPS), max(config.LAG_STEPS), max(config.DELTA_STEPS))
 LOOK_AHEAD = max(config.steps(h) for h in config.HORIZONS)
@@ -52,15 +52,24 @@ def build_features(panel: DataFrame, seq: Sequencer, use_ema: bool = False, targ
     delta targets at the split without another window).
     """
     df = with_calendar(panel)
-    blocked = use_ema and seq.resolve(df) != "key"
-    if blocked:
-        df = seq.with_blocks(df, lambda d, block, row: add_ema_blocked(d, seq, block, row))
+    strategy = seq.resolve(df)
+    if use_ema and strategy != "key":
+        df = seq.index(df, known="occ")
+        df = df.withColumns({ema.ROW: F.col(ROW_NUMBER), ema.BEFORE: F.col(KNOWN_BEFORE)}).drop(KNOWN_BEFORE)
+    plain = df
 
     def build(d: DataFrame, w: Window) -> DataFrame:
         d = d.withColumns(_window_columns("occ", "occ", w, targets))
-        return add_ema_grouped(d, seq) if use_ema and not blocked else d
-
-    return seq.windowed(df, LOOK_BACK, LOOK_AHEAD, build)
+        return d.withColumns(ema.numbered(w)) if use_ema and strategy == "key" else d
+
+    out = seq.windowed(df, LOOK_BACK, LOOK_AHEAD, build, strategy)
+    if not use_ema:
+        return out
+    # the few columns of the scan, from the rows before the feature windows
+    names = [*seq.keys, "occ"]
+    rows = (plain.select(*names, *[c for c in seq.order if c not in names]).withColumns(ema.numbered(seq.key_window()))
+            if strategy == "key" else plain)
+    return ema.with_ema(out, rows.select(*names, ema.ROW, ema.BEFORE), seq.keys)
 
 
 def build_bike_features(panel: DataFrame, seq: Sequencer) -> DataFrame:

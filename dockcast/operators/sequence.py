@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 
 from dockcast.functions.columns import micros
 
-_G = "_g"
+_G = ROW_NUMBER = "_g"
+KNOWN_BEFORE = "_known_before"
 _HALO = "_halo"
 BLK = "_blk"
 CHUNK = "_chunk"
@@ -76,13 +77,6 @@ class Sequencer:
     def _order_cols(self) -> list[Column]:
         return [F.col(c).asc() for c in self.order]
 
-    def group_cols(self, df: DataFrame) -> list[str]:
-        """Columns that identify one window partition of ``df`` (inside ``build``)."""
-        return self.keys + ([BLK] if BLK in df.columns else [])
-
-    def sort_cols(self, df: DataFrame) -> list[str]:
-        return [_G] if _G in df.columns else list(self.order)
-
     def key_window(self):
         return Window.partitionBy(*self.keys).orderBy(*self._order_cols())
 
@@ -128,8 +122,9 @@ class Sequencer:
         return F.floor(micros(self.order[0]) / F.lit(self.chunk_width(df) * 1_000_000))
 
     # ----------------------------------------------------------- row numbers
-    def index(self, df: DataFrame) -> DataFrame:
-        """Add ``_g``: 0-based row position inside the station (blocked plan).
+    def index(self, df: DataFrame, known: str | None = None) -> DataFrame:
+        """Add ``_g``: 0-based row position inside the station (blocked plan); with ``known`` also
+        ``KNOWN_BEFORE``, the number of that column's values before the row.
 
         Only (station, chunk) counts travel to the chunk-table prefix sum;
         rows are shuffled once, by (station, chunk), for the join and the
@@ -139,12 +134,16 @@ class Sequencer:
         # reuse the chunk column of a preceding blocked fill: the rows are then
         # already partitioned by (station, chunk) and no new exchange is needed
         d = df if CHUNK in df.columns else df.withColumn(CHUNK, self._chunk(df))
-        counts = d.groupBy(*k, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+        counts = d.groupBy(*k, "_chunk").agg(F.count(F.lit(1)).alias("_n"), F.count(known or F.lit(1)).alias("_m"))
         wc = Window.partitionBy(*k).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-        starts = counts.select(*k, "_chunk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_start"))
+        starts = counts.select(*k, "_chunk", F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_start"),
+                               F.coalesce(F.sum("_m").over(wc), F.lit(0)).alias("_known"))
         d = d.join(starts, on=k + ["_chunk"], how="inner")
         wr = Window.partitionBy(*k, "_chunk").orderBy(*self._order_cols())
-        return d.withColumn(_G, F.col("_start") + F.row_number().over(wr) - 1).drop("_chunk", "_start")
+        d = d.withColumn(_G, F.col("_start") + F.row_number().over(wr) - 1)
+        if known:
+            d = d.withColumn(KNOWN_BEFORE, F.col("_known") + F.count(known).over(wr.rowsBetween(Window.unboundedPreceding, -1)))
+        return d.drop("_chunk", "_start", "_known")
 
     def _halo(self, df: DataFrame, back: int, ahead: int) -> DataFrame:
         B = max(self.block_rows, back, ahead)     # a block must cover the look-back / look-ahead
@@ -160,11 +159,6 @@ class Sequencer:
         return (df.withColumn(_HALO, F.explode(F.array_compact(F.array(*cands))))
                   .withColumn(BLK, t.getField("b")).withColumn(HOME, t.getField("home")).drop(_HALO))
 
-    def with_blocks(self, df: DataFrame, body: Callable[[DataFrame, str, str], DataFrame]) -> DataFrame:
-        """Run ``body(df, block, row)`` on numbered rows cut into blocks without halos; the row number stays."""
-        d = df if _G in df.columns else self.index(df)
-        return body(d.withColumn(BLK, F.floor(F.col(_G) / self.block_rows).cast("long")), BLK, _G).drop(BLK)
-
     # ------------------------------------------------------------- windows
     def windowed(self, df: DataFrame, back: int, ahead: int,
                  build: Callable[[DataFrame, "Window"], DataFrame], strategy: str | None = None) -> DataFrame:
