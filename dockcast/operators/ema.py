@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockcast import config
-from dockcast.operators.dims import sized_join
 
 ALPHAS = {"occ_ema_fast": config.EMA_FAST_ALPHA, "occ_ema_slow": config.EMA_SLOW_ALPHA}
 EMA_COLUMNS = (*ALPHAS, "occ_momentum")
@@ -96,12 +95,8 @@ def with_ema(frame: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     same = F.col("_at") == F.col("_block")
     for k, n in zip(keys, names):
         same = same & F.col(k).eqNullSafe(F.col(n))
-    d = sized_join(d, table, same, "left", max_rows=MAX_BLOCKS)
+    d = d.join(table, same, "left")                       # broadcast by Spark itself where the finished table is small
     y = F.get("_averages", F.pmod(at, F.lit(BLOCK)).cast("int"))
     d = d.withColumns({c: y[c].cast("float") for c in ALPHAS})
     d = d.withColumn("occ_momentum", (F.col("occ_ema_fast") - F.col("occ_ema_slow")).cast("float"))
     return d.drop(*names, "_block", "_averages", "_at", BEFORE, ROW)
-
-
-# blocks of 16 bytes a value: at most 64 MB are broadcast
-MAX_BLOCKS = (64 << 20) // (16 * BLOCK)
