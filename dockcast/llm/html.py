@@ -20,8 +20,10 @@ the page, sidebars, notices, adverts, forms, scripts, styles or comments, by tag
 words of class, id and role.
 
 Defined cases: null html is empty; null or unreadable urls are one host of their own; text
-outside any tag is body text; unclosed comments, scripts and tags run to the end; repeated
-rows are extracted each; empty tables give empty results; other columns are not read.
+outside any tag is body text; unclosed comments, scripts and tags run to the end; where a quote
+in a tag is never closed, that tag and those up to the quote end at their next ``>``; a page may nest as deep and have
+as many siblings as its length allows (time linear in a page's length, but for the alignment of up to ``CELLS``
+pairs of siblings at a time); repeated rows are extracted each; empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,8 +31,13 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+import sys
+from bisect import bisect_left
+from collections import Counter
+from contextlib import contextmanager
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,13 +66,18 @@ PAGE_HEAD = {"header", "masthead", "banner", "topbar"}
 NAMED_MAIN = {"article", "main", "content", "post", "entry", "story"}
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+_OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)([A-Za-z][A-Za-z0-9:-]*))")
+_VALUES = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+")
 _NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
 # Pages that must agree on a text inside the container before it counts as the host's.
 AGREE = 3
 # Partial wrappers of a host are merged in this many parts first.
 PARTS = 16
+# Cells of an alignment table; longer lists of siblings are split first.
+CELLS = 1 << 20
+# Calls a tree may need: a tag takes three characters at least, so this holds for pages of 3 MB of opening tags alone.
+DEPTH = 4_000_000
 # Hosts whose wrappers one task keeps before it passes them on.
 HELD_HOSTS = 2000
 
@@ -79,35 +91,72 @@ def _label(tag: str, attributes: str) -> str:
     return f"{tag}.{'.'.join(found)}" if found else tag
 
 
+class Tags:
+    """The tags of a page in order, in time linear in its length.
+
+    A ``>`` inside a quoted value does not end a tag.  Where a quote is never closed, the
+    tags before it end at their next ``>`` instead: such a tag is looked through once for
+    each kind of quote, not again from every tag that follows.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.plain_until = page, 0
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, "/" or "", tag or "", attributes) of the first tag from ``at``; comments and the like have no tag."""
+        page = self.page
+        m = _OPENING.search(page, at)
+        if not m:
+            return None
+        start = m.start()
+        if m.group(1) or m.group(2):
+            close, width = ("-->", 3) if m.group(1) else (">", 1)
+            end = page.find(close, m.end())
+            return start, len(page) if end < 0 else end + width, "", "", ""
+        if start >= self.plain_until:
+            end = _VALUES.match(page, m.end()).end()
+            if end < len(page) and page[end] != ">":
+                self.plain_until = end                          # a quote opens here and is never closed
+        if start < self.plain_until:
+            end = page.find(">", m.end())
+            end = len(page) if end < 0 else end
+        return start, min(end + 1, len(page)), m.group(3), m.group(4).lower(), page[m.end():end]
+
+
 def read_page(page: str) -> list:
     """The page's tree: nodes ``[label, children]``; a text is a string, ``None`` is a line break; inline tags leave their texts."""
     root = ["#root", []]
     stack, at, n = [root], 0, len(page)
+    open_tags: Counter = Counter()
+    tags = Tags(page)
 
     def text(s):
         if s:
             stack[-1][1].append(entities.unescape(s))
 
-    def close_to(tags, stop):
-        """Close the innermost open element of ``tags``, unless one of ``stop`` is inside."""
+    def close_to(names, stop):
+        """Close the innermost open element of ``names``, unless one of ``stop`` is inside."""
+        if not any(open_tags[t] for t in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
             name = stack[i][0].partition(".")[0]
-            if name in tags:
+            if name in names:
+                for node in stack[i:]:
+                    open_tags[node[0].partition(".")[0]] -= 1
                 del stack[i:]
                 return
             if name in stop:
                 return
     while at < n:
-        m = _TOKEN.search(page, at)
-        if not m:
+        found = tags.next(at)
+        if not found:
             text(page[at:])
             break
-        text(page[at:m.start()])
-        at = m.end()
-        closing, tag, attributes = m.groups()
+        start, end, closing, tag, attributes = found
+        text(page[at:start])
+        at = end
         if not tag:
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a" and not closing:
                 stack[-1][1].append(True)               # a link starts
@@ -129,12 +178,13 @@ def read_page(page: str) -> list:
         node = [_label(tag, attributes), []]
         stack[-1][1].append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            last = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             if tag in ("title", "textarea"):
-                node[1].append(entities.unescape(page[at:end.start() if end else n]))
-            at = end.end() if end else n
+                node[1].append(entities.unescape(page[at:last.start() if last else n]))
+            at = last.end() if last else n
         elif not attributes.rstrip().endswith("/"):
             stack.append(node)
+            open_tags[tag] += 1
     return root
 
 
@@ -171,6 +221,45 @@ def page_wrapper(node: list) -> list:
     return [node[0], False, False, fold(items), None]
 
 
+def flat(item: list) -> list:
+    """A wrapper as a list of items with the number of their children, parents first: JSON of any depth."""
+    out, todo = [], [item]
+    while todo:
+        label, optional, repeated, children, text = todo.pop()
+        out.append([label, optional, repeated, len(children), text])
+        todo += reversed(children)
+    return out
+
+
+def nested(items: list) -> list:
+    """The wrapper that ``flat`` wrote."""
+    root = None
+    open_: list = []                                     # (item, children still to come)
+    for label, optional, repeated, n, text in items:
+        item = [label, optional, repeated, [], text]
+        if root is None:
+            root = item
+        else:
+            open_[-1][0][3].append(item)
+            open_[-1][1] -= 1
+        if n:
+            open_.append([item, n])
+        while open_ and not open_[-1][1]:
+            open_.pop()
+    return root
+
+
+@contextmanager
+def deep():
+    """Room for trees as deep as pages are long: plain Python calls, whose frames are not on the C stack."""
+    before = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(before, DEPTH))
+    try:
+        yield
+    finally:
+        sys.setrecursionlimit(before)
+
+
 def fold(items: list) -> list:
     """Neighbouring equal groups of one, two or three items become one repeated group."""
     for size in (1, 2, 3):
@@ -209,11 +298,15 @@ def align(x: list, y: list) -> list:
     if [i[0] for i in x] == [i[0] for i in y]:
         return [merge(a, b) for a, b in zip(x, y)]
     n, m = len(x), len(y)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if x[i][0] == y[j][0] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
+    if n * m > CELLS:
+        for a, b in [*_matches([v[0] for v in x], [v[0] for v in y]), (n, m)]:
+            out += [[v[0], True, *v[2:]] for v in x[i:a]] + [[v[0], True, *v[2:]] for v in y[j:b]]
+            if a < n:
+                out.append(merge(x[a], y[b]))
+            i, j = a + 1, b + 1
+        return fold(out) if len(out) > max(n, m) else out
+    best = _table([v[0] for v in x], [v[0] for v in y])
     while i < n or j < m:
         if i < n and j < m and x[i][0] == y[j][0]:
             out.append(merge(x[i], y[j]))
@@ -227,6 +320,84 @@ def align(x: list, y: list) -> list:
     return fold(out) if len(out) > max(n, m) else out
 
 
+def _table(x: list, y: list) -> list[list[int]]:
+    """Lengths of the longest common subsequences of all ends of ``x`` and ``y``."""
+    n, m = len(x), len(y)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if x[i] == y[j] else max(best[i + 1][j], best[i][j + 1])
+    return best
+
+
+def _matches(x: list, y: list) -> list[tuple[int, int]]:
+    """Index pairs of equal labels, rising in both, of lists too long for one table.
+
+    Equal ends are matched first; labels that are unique on both sides are matched by a
+    longest rising run and split the rest; a piece small enough is matched by its table,
+    one without such labels from left to right.
+    """
+    out: list[tuple[int, int]] = []
+    todo = [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        while a < b and c < d and x[a] == y[c]:
+            out.append((a, c))
+            a, c = a + 1, c + 1
+        while a < b and c < d and x[b - 1] == y[d - 1]:
+            b, d = b - 1, d - 1
+            out.append((b, d))
+        n, m = b - a, d - c
+        if not n or not m:
+            continue
+        if n * m <= CELLS:
+            best, i, j = _table(x[a:b], y[c:d]), 0, 0
+            while i < n and j < m:
+                if x[a + i] == y[c + j]:
+                    out.append((a + i, c + j))
+                    i, j = i + 1, j + 1
+                elif best[i + 1][j] >= best[i][j + 1]:
+                    i += 1
+                else:
+                    j += 1
+            continue
+        once = [{v: k for k, v in enumerate(s[lo:hi], lo)} for s, lo, hi in ((x, a, b), (y, c, d))]
+        counts = [Counter(x[a:b]), Counter(y[c:d])]
+        anchors = _rising([(i, once[1][v]) for v, i in once[0].items() if counts[0][v] == 1 and counts[1].get(v) == 1])
+        if anchors:
+            out += anchors
+            edges = [(a - 1, c - 1), *anchors, (b, d)]
+            todo += [(i + 1, k, j + 1, q) for (i, j), (k, q) in zip(edges, edges[1:])]
+            continue
+        places: dict = {}
+        for j in range(d - 1, c - 1, -1):
+            places.setdefault(y[j], []).append(j)
+        last = c - 1
+        for i in range(a, b):
+            left = places.get(x[i], [])
+            while left and left[-1] <= last:
+                left.pop()
+            if left:
+                last = left.pop()
+                out.append((i, last))
+    return sorted(out)
+
+
+def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest run of ``pairs`` (sorted by their first) whose second rises too."""
+    tops, ends, before = [], [], {}
+    for k, (_, j) in enumerate(pairs):
+        at = bisect_left(tops, j)
+        before[k] = ends[at - 1] if at else None
+        tops[at:at + 1] = [j]
+        ends[at:at + 1] = [k]
+    out, k = [], ends[-1] if ends else None
+    while k is not None:
+        out.append(pairs[k])
+        k = before[k]
+    return out[::-1]
+
+
 def expression(item: list) -> str:
     """A wrapper as a union-free regular expression."""
     label, optional, repeated, children, text = item
@@ -277,6 +448,11 @@ def page_kind(tree: list) -> str:
     return "main" if held(tree, False, False, False) else "doubtful" if held(tree, False, False, True) else "body"
 
 
+def _path(parent: str, label: str) -> str:
+    """The name of a place in a tree: a hash of the labels down to it, of one length at any depth."""
+    return xxhash.xxh64_hexdigest(f"{parent}/{label}")
+
+
 def main_paths(wrapper: list, kind: str | None = None, pages: int = 1) -> dict[str, list]:
     """Where the main text stands in the wrapper of a host's ``pages`` pages of one kind.
 
@@ -295,7 +471,7 @@ def main_paths(wrapper: list, kind: str | None = None, pages: int = 1) -> dict[s
             if now is None:
                 return
             inside, article = now
-            path = f"{path}/{label}"
+            path = _path(path, label)
         for c in item[3]:
             walk(c, path, inside, article, optional, repeated, out)
     for doubtful in [kind != "main"] if kind else [False, True]:
@@ -325,7 +501,7 @@ def extract(page: str | list, rules: dict) -> str:
                 if path in kept and c[0] not in template and (rules["links"] or not c[1]):
                     (left if (path, c[0]) in fixed or c[1] and path in lists else out).append(c[0])
             else:
-                walk(c, f"{path}/{c[0]}")
+                walk(c, _path(path, c[0]))
     walk(read_page(page) if isinstance(page, str) else page, "")
     return " ".join(out or left)                             # a container of nothing else is kept
 
@@ -333,6 +509,14 @@ def extract(page: str | list, rules: dict) -> str:
 _WRAPPER = "host string, part int, pages long, wrapper string"
 
 
+def _dumps(kinds: dict) -> str:
+    return json.dumps({kind: [n, flat(w)] for kind, (n, w) in kinds.items()})
+
+
+def _loads(text: str) -> dict:
+    return {kind: [n, nested(items)] for kind, (n, items) in json.loads(text).items()}
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, pages, wrapper): the wrappers of every host of ``pages`` (host, html) by kind of page, as JSON: kind -> [pages, wrapper]."""
     def joined(old, new):
@@ -346,13 +530,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
         def rows():
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.string()), pa.array([(TaskContext.get().partitionId() + serial) % PARTS] * len(held), pa.int32()),
-                 pa.array([n for n, _ in held.values()], pa.int64()), pa.array([json.dumps(w) for _, w in held.values()], pa.string())],
+                 pa.array([n for n, _ in held.values()], pa.int64()), pa.array([_dumps(w) for _, w in held.values()], pa.string())],
                 names=["host", "part", "pages", "wrapper"])
         for batch in batches:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tree = read_page(html.as_py() or "")
                 n, old = held.get(host, (0, {}))
-                held[host] = (n + 1, joined(old, {page_kind(tree): [1, page_wrapper(tree)]}))
+                with deep():
+                    held[host] = (n + 1, joined(old, {page_kind(tree): [1, page_wrapper(tree)]}))
             if len(held) > HELD_HOSTS:
                 serial += 1
                 yield rows()
@@ -363,8 +548,9 @@ def wrappers(pages: DataFrame) -> DataFrame:
     def merged(pdf):
         total, w = 0, {}
         for n, s in zip(pdf["pages"], pdf["wrapper"]):
-            total, w = total + n, joined(w, json.loads(s))
-        return pdf.iloc[:1].assign(pages=total, wrapper=json.dumps(w))
+            with deep():
+                total, w = total + n, joined(w, _loads(s))
+        return pdf.iloc[:1].assign(pages=total, wrapper=_dumps(w))
     parts = pages.select("host", "html").mapInArrow(partial, _WRAPPER)
     for key in (["host", "part"], ["host"]):
         parts = parts.groupBy(*key).applyInPandas(merged, _WRAPPER)
@@ -384,9 +570,11 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 if host not in rules:
                     if len(rules) > HELD_HOSTS:
                         rules.clear()
-                    rules[host] = {kind: main_paths(w, kind, n) for kind, (n, w) in json.loads(wrapper).items()}
+                    with deep():
+                        rules[host] = {kind: main_paths(w, kind, n) for kind, (n, w) in _loads(wrapper).items()}
                 tree = read_page(html)
-                out.append(extract(tree, rules[host][page_kind(tree)]))
+                with deep():
+                    out.append(extract(tree, rules[host][page_kind(tree)]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=["page_id", "url", "text"])
     joined = checked_join(rows, known.select("host", "wrapper"), "host", "inner", 64, F.octet_length("wrapper"))
     return joined.select("page_id", "url", "host", "html", "wrapper").mapInArrow(run, "page_id long, url string, text string")

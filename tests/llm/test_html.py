@@ -120,3 +120,63 @@ def test_unnamed_template_text_inside_the_article_goes_when_pages_agree(spark):
         assert got[i] == f"Head {i} One {i} Two"
         assert got[10 + i] == f"Head {i} One {i} Two Box {i}"
     assert got[20] == "Head 0 One 0 Two Get the app A 0 B 0"
+
+
+def _timed(pages, seconds):
+    """Texts of pages of one host; fails if they take much longer than pages of their size should."""
+    import time
+    start = time.time()
+    w = None
+    with h.deep():
+        trees = [h.read_page(p) for p in pages]
+        kinds = {h.page_kind(t) for t in trees}
+        for t in trees:
+            w = h.page_wrapper(t) if w is None else h.merge(w, h.page_wrapper(t))
+        (kind,) = kinds
+        w = h._loads(h._dumps({kind: [len(pages), w]}))[kind][1]
+        rules = h.main_paths(w, kind, len(pages))
+        out = [h.extract(t, rules) for t in trees]
+    assert time.time() - start < seconds
+    return out
+
+
+def test_a_hundred_thousand_nested_tags():
+    n = 100_000
+    pages = [f"<article>{'<div>' * n}<p>deep {i}</p>{'</div>' * n}<p>end {i}</p></article>" for i in range(2)]
+    assert _timed(pages, 60) == ["deep 0 end 0", "deep 1 end 1"]
+    assert _timed(["<article>" + "<x>" * n + "</y>" * n + "<p>text"], 60) == ["text"]
+
+
+def test_a_hundred_thousand_siblings():
+    n = 100_000
+    one = "<article>" + "".join(f"<div class='c{chr(97 + i % 7)}{chr(97 + i // 7 % 23)}{chr(97 + i // 161 % 26)}'>t{i}</div>" for i in range(n)) + "</article>"
+    two = "<article>" + "".join(f"<div class='c{chr(97 + i % 7)}{chr(97 + i // 7 % 19)}{chr(97 + i // 133 % 26)}'>u{i}</div>" for i in range(n)) + "</article>"
+    got = _timed([one, two], 120)
+    assert got == [" ".join(f"t{i}" for i in range(n)), " ".join(f"u{i}" for i in range(n))]
+
+
+def test_a_megabyte_of_unclosed_quotes():
+    n = 300_000
+    assert _timed(["<article><p>before</p>" + "<a " * n + '"'], 30) == ["before"]
+    assert _timed(["<article><p>before</p>" + "<b x='\"' " * (n // 4) + "' \" <p>after"], 30) == ["before after"]
+    assert _timed(["<article><p>one <i title=\"open>two</i></p><p>three</p>"], 5) == ["one two three"]
+
+
+def test_long_lists_are_matched_like_short_ones(monkeypatch):
+    import random
+    rng = random.Random(3)
+    for _ in range(60):
+        x = [rng.choice("abcdefghijklmnop") * rng.choice([1, 2, 9]) for _ in range(rng.randrange(40))]
+        y = [v for v in x if rng.random() < 0.8] + [rng.choice("xyz") for _ in range(3)]
+        monkeypatch.setattr(h, "CELLS", rng.choice([0, 20, 400]))
+        pairs = h._matches(x, y)
+        assert all(x[i] == y[j] for i, j in pairs)
+        assert all(a < c and b < d for (a, b), (c, d) in zip(pairs, pairs[1:]))
+        if h.CELLS == 400 and len(x) * len(y) <= 400:
+            assert len(pairs) == h._table(x, y)[0][0]
+
+
+def test_deep_pages_through_spark(spark):
+    rows = [(i, "http://h/x", f"<article>{'<div>' * 3000}<p>deep {i}</p></article>") for i in range(3)]
+    got = h.html_query(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted(r.text for r in got) == ["deep 0", "deep 1", "deep 2"]
