@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from dockcast.llm import (chat, decontaminate, filteraudit, fingerprint, html, linededup, merkle, mixing, neardup, quality, sharding,
-                          simhash, substring)
+from dockcast.llm import (chat, decontaminate, filteraudit, fingerprint, html, linededup, merkle, mixing, neardup, oracles, quality,
+                          sharding, simhash, substring)
 from dockcast.llm.common import table
 
 QUERIES = {
@@ -23,8 +23,11 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_decontamination": oracles.CONTAMINATION,
+    "op5_near_duplicates": oracles.NEAR_DUPLICATES,
     "op6_mixing": mixing.MIX_SQL,
     "op7_chat_format": chat.CHAT_SQL,
+    "op9_substring_dedup": oracles.REPEATED_WINDOWS,
     "op11_filter_audit": filteraudit.AUDIT_SQL,
     "op12_merkle_manifest": merkle.MERKLE_SQL,
 }
