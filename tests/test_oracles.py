@@ -8,7 +8,10 @@ import pytest
 SF = "/root/testdata/sf0.001"
 FAST = ["panel_scan", "capacity_clean", "occupancy", "occ_features", "delta_targets", "station_encodings",
         "add_weather", "weather_asof", "mae_naive", "mae_seasonal", "occ_ema", "history_features", "history_features_consistent",
-        "score_requests", "gbfs_merge", "snapshot_panel", "null_rates", "temporal_cut"]
+        "score_requests", "gbfs_merge", "snapshot_panel", "null_rates", "temporal_cut", "asof_any", "asof_forward", "asof_weather_any",
+        "clean_horizon", "feature_matrix", "reconstruct", "ridge_moments", "station_hour_median", "seasonal_median", "missing_ticks",
+        "occ_lags_time", "panel_csv", "weather_csv", "weather_json", "panel_rejects", "snapshot_sink", "weather_sink",
+        "dev_sample_quarter", "latest_stream", "gbfs_stream", "online_late"]
 
 
 def _norm(df):
