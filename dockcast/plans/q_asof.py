@@ -11,7 +11,7 @@ from dockcast.plans.q_weather import WCOLS, WEATHER_HOURLY, WSPEC
 from dockcast.plans.sqltext import STATION_TS, with_
 from dockcast.sources.tables import read_table
 
-MSPEC = [("m_ts", "t"), ("m_id", "l"), ("m_value", "q")]
+MSPEC = [("m_ts", "t"), ("m_id", "q"), ("m_value", "q")]
 
 # a second stream per station: every third reading, up to two minutes early or late, to the minute (so times tie)
 METER = """meter AS (SELECT station_id, m_ts, m_id, m_value FROM (
