@@ -13,7 +13,8 @@ under the loss mask exactly.
 
 Defined cases: null text or role is empty; rows are ordered by turn, ties by role
 and text, repeated rows are repeated turns; a null conv_id is a conversation of its
-own; an empty table gives an empty result.  One conversation is one row of the
+own; an empty table gives an empty result; a very long text is escaped whole; extra
+columns, clashing names included, are not read.  One conversation is one row of the
 result, so its turns meet in one task.
 """
 

@@ -16,7 +16,8 @@ larger benchmark makes more passes over the stored index, not larger tasks.
 
 Defined cases: null texts have no words; items without words have no phrases and
 match nothing; an item shorter than the phrase length is one phrase; documents
-with equal ids are kept apart; empty tables give empty results or no matches; other
+with equal ids are kept apart; items without an id cannot be named and are not looked for;
+empty tables give empty results or no matches; other
 columns of the inputs are not read.
 """
 

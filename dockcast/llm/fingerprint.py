@@ -11,7 +11,9 @@ chosen hash, and no shared run shorter than ``K`` tokens is ever reported.
 Defined cases: a text of fewer than ``K`` tokens has one hash of all its tokens, a
 text of fewer than ``W`` hashes is one window; a text without tokens, empty or null
 has the empty fingerprint.  Two empty fingerprints are alike (1), an empty and another
-are not (0).  Likeness is the Jaccard similarity of the sets of hashes.
+are not (0).  Likeness is the Jaccard similarity of the sets of hashes.  Repeated rows each
+get a row; a very long text is one row of arrays as long as its tokens; an empty table gives an
+empty result; extra columns, clashing names included, are not read.
 """
 
 from __future__ import annotations
