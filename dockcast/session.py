@@ -64,9 +64,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+# one folder of stored tables per application
+_TABLES: dict[str, str] = {}
+
+
 def table_folder(spark: SparkSession) -> str:
-    """A new folder for one stored table; Hadoop deletes it when the session's JVM ends."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dockcast-tables/{uuid.uuid4().hex}"
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return path
+    """A new folder for one stored table; Hadoop deletes it when the session's JVM ends.
+
+    Only a folder that exists can be registered for deletion, so the application's
+    folder is made first and each table is a folder below it.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _TABLES:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dockcast-tables/{uuid.uuid4().hex}"
+        jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(jpath)
+        fs.deleteOnExit(jpath)
+        _TABLES[app] = root
+    return f"{_TABLES[app]}/{uuid.uuid4().hex}"
