@@ -15,7 +15,8 @@ holds a host's pages.  The pages of a host have a wrapper
 for each kind: with text inside ``article`` or ``main`` (or what is named so), or without.  From
 the finished wrapper the places of the main text are chosen: inside that container for pages
 that have it, in the whole body for the others, both without template text and lists of links
-(in a container only what three pages or more agree on); never inside menus, headers and footers of
+(in a container only what three pages or more agree on, and only on a page whose own text there is
+longer than what would be left out: else the shared text is the article, mirrored); never inside menus, headers and footers of
 the page, sidebars, notices, adverts, forms, scripts, styles or comments, by tag and by the
 words of class, id and role.
 
@@ -492,18 +493,23 @@ def main_paths(wrapper: list, kind: str | None = None, pages: int = 1) -> dict[s
 
 def extract(page: str | list, rules: dict) -> str:
     """The main text of a page (or of its tree) by the rules of its host and kind."""
-    kept, template, out, left = set(rules["paths"]), set(rules["template"]), [], []
+    kept, template, found = set(rules["paths"]), set(rules["template"]), []
     fixed, lists = set(map(tuple, rules.get("fixed", ()))), set(rules.get("lists", ()))
 
     def walk(node, path):
         for c in runs(node[1]):
             if isinstance(c, tuple):
                 if path in kept and c[0] not in template and (rules["links"] or not c[1]):
-                    (left if (path, c[0]) in fixed or c[1] and path in lists else out).append(c[0])
+                    found.append((c[0], "links" if c[1] and path in lists else "shared" if (path, c[0]) in fixed else "own"))
             else:
                 walk(c, _path(path, c[0]))
     walk(read_page(page) if isinstance(page, str) else page, "")
-    return " ".join(out or left)                             # a container of nothing else is kept
+    size = Counter()
+    for text, kind in found:
+        size[kind] += len(text)
+    # what the host's pages share outweighs what is the page's own: it is the article (mirrored, reposted, in parts)
+    left_out = {"links"} if size["shared"] >= size["own"] else {"links", "shared"}
+    return " ".join([t for t, kind in found if kind not in left_out] or [t for t, _ in found])   # a container of nothing else is kept
 
 
 _WRAPPER = "host string, part int, pages long, wrapper string"

@@ -122,6 +122,17 @@ def test_unnamed_template_text_inside_the_article_goes_when_pages_agree(spark):
     assert got[20] == "Head 0 One 0 Two Get the app A 0 B 0"
 
 
+def test_a_mirrored_article_is_kept_whole(spark):
+    same = "the whole article, word for word on every page of the host, far longer than the title"
+    rows = [(i, f"https://mirror.example/{i}", f"<body><nav><a href=/>Home</a></nav><article><h1>Title {i}</h1><div><p>{same}</p></div><h2>End</h2></article>")
+            for i in range(6)]
+    rows += [(10 + i, f"https://own.example/{i}", f"<body><article><h1>Title {i}</h1><div><p>A long paragraph that only page {i} has, number {i * i}</p></div>"
+              "<h2>Read more here</h2></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in h.html_query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(6)] == [f"Title {i} {same} End" for i in range(6)]
+    assert [got[10 + i] for i in range(6)] == [f"Title {i} A long paragraph that only page {i} has, number {i * i}" for i in range(6)]
+
+
 def _timed(pages, seconds):
     """Texts of pages of one host; fails if they take much longer than pages of their size should."""
     import time
