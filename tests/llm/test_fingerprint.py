@@ -6,9 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from dockcast.llm.fingerprint import K, W, fingerprint, fingerprint_query
+from dockcast.llm.fingerprint import K, SHORT, W, _cut, fingerprint, fingerprint_query
 
-TOKENS = re.compile(r"[^\x20\x09-\x0D]{1,16}")
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 M64 = (1 << 64) - 1
 
 
@@ -27,7 +27,7 @@ def rotl(v, b):
 
 def brute(text):
     """Winnowing window by window, from the definition."""
-    t = TOKENS.findall(text or "")
+    t = [x for word in WORDS.findall(text or "") for x in ([word] if len(word) <= 16 else word)]
     if not t:
         return []
     if len(t) < K:
@@ -39,8 +39,10 @@ def brute(text):
             for x in t[i:i + K]:
                 v = rotl(v, 1) ^ h(x)
             g.append(v)
+    if len(g) <= SHORT:
+        return [(signed(v), i) for i, v in enumerate(g)]
     out = []
-    for i in range(max(1, len(g) - W + 1)):
+    for i in range(len(g) - W + 1):
         window = range(i, min(i + W, len(g)))
         least = min(g[j] >> 29 for j in window)
         at = max(j for j in window if g[j] >> 29 == least)
@@ -91,9 +93,45 @@ def test_single_repeated_and_empty(docs):
 def test_match_guarantee(spark):
     rng = random.Random(9)
     for _ in range(20):
-        shared = [str(rng.randrange(10 ** 6)) for _ in range(K + W - 1)]
+        shared = [str(rng.randrange(10 ** 6)) for _ in range(K + W - 1)]                  # a short text among them
         texts = [" ".join([str(rng.randrange(10 ** 6)) for _ in range(rng.randrange(20))] + shared + [str(rng.randrange(10 ** 6)) for _ in range(rng.randrange(20))]) for _ in range(2)]
         a, b = ({v for v, _ in brute(t)} for t in texts)
         assert a & b
     fp = spark.createDataFrame([(texts[0],)], "text string").select(fingerprint(F.col("text")).alias("f")).first().f
     assert [(e.hash, e.pos) for e in fp] == brute(texts[0])
+
+
+def test_shift_in_unspaced_text_and_short_texts(spark):
+    rng = random.Random(4)
+    passage = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(40))
+    for before in range(1, 18):
+        a, b = ({v for v, _ in brute("".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n)) + passage + "\u4e00" * 30)} for n in (0, before))
+        assert len(a & b) >= 3
+    near = spark.createDataFrame([("one two three four five six seven eight", "one two three four five six seven nine"), (passage, "x" + passage)], "a string, b string")
+    got = [[{e.hash for e in f} for f in r] for r in near.select(fingerprint(F.col("a")), fingerprint(F.col("b"))).collect()]
+    assert [len(a & b) / len(a | b) > 0.5 for a, b in got] == [True, True]
+
+
+def brute_next(data):
+    order = sorted(range(len(data)), key=lambda i: (data[i][0] is not None, data[i][0] or 0, signed(h(data[i][1] or ""))))
+    return {i: order[(n + 1) % len(order)] for n, i in enumerate(order)}
+
+
+def test_blocks_hold_equally_many_rows_wherever_keys_lie(docs):
+    rng = random.Random(6)
+    ids = [*range(6000), 1 << 60, -(1 << 63), (1 << 63) - 1, *range(1 << 40, (1 << 40) + 3000), *[None] * 2500, *[77_777] * 2500]
+    data = [(i, f"text {n} {rng.random()}") for n, i in enumerate(ids)]
+    d = docs(data).select("doc_id", "text")
+    sizes = [r["count"] for r in _cut(d, "doc_id").groupBy("__block").count().collect()]
+    assert sum(sizes) == len(data) and max(sizes) <= 4 * 256 + 64
+    got = {r.edited_sha256 for r in fingerprint_query(docs(data)).collect()}
+    after = brute_next(data)
+    for i, (_, t) in enumerate(data):
+        q = len(t) // 4
+        assert hashlib.sha256((t[:len(t) - q] + data[after[i]][1][:q]).encode()).hexdigest() in got
+
+
+def test_equal_rows_stay_in_one_block(docs):
+    same = [(5, "the same row")] * 3000 + [(i, f"row {i}") for i in range(4, 9)]
+    got = fingerprint_query(docs(same)).collect()
+    assert len(got) == len(same) and sum(r.near_next == 1.0 for r in got if r.doc_id == 5) >= 2999
