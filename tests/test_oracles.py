@@ -11,7 +11,7 @@ FAST = ["panel_scan", "capacity_clean", "occupancy", "occ_features", "delta_targ
         "score_requests", "gbfs_merge", "snapshot_panel", "null_rates", "temporal_cut", "asof_any", "asof_forward", "asof_weather_any",
         "clean_horizon", "feature_matrix", "reconstruct", "ridge_moments", "station_hour_median", "seasonal_median", "missing_ticks",
         "occ_lags_time", "panel_csv", "weather_csv", "weather_json", "panel_rejects", "snapshot_sink", "weather_sink",
-        "dev_sample_quarter", "latest_stream", "gbfs_stream", "online_late"]
+        "dev_sample_quarter", "comparison_common", "latest_stream", "gbfs_stream", "online_late"]
 
 
 def _norm(df):
