@@ -4,7 +4,8 @@ Row-based lags mean minutes only on a gap-free grid.  The check needs no
 grid expansion: per station, expected ticks = (last - first) / step + 1 and
 present ticks = distinct floored timestamps — one aggregate with partial
 aggregation.  ``missing_ticks`` expands the grid only for stations that have
-gaps, one bounded ``sequence`` per station and day.
+gaps, one bounded ``sequence`` per station and day, less the day's present ticks
+inside that row: days are joined, never ticks.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dockcast import config
-from dockcast.functions.columns import floor_ts, micros
+from dockcast.functions.columns import floor_ts, from_micros, micros
+from dockcast.operators.dims import materialise
 
 
 def gap_report(panel: DataFrame, freq_min: int = config.FREQ_MIN) -> DataFrame:
@@ -27,12 +29,17 @@ def gap_report(panel: DataFrame, freq_min: int = config.FREQ_MIN) -> DataFrame:
 
 
 def missing_ticks(panel: DataFrame, freq_min: int = config.FREQ_MIN) -> DataFrame:
-    """(station_id, tick) of every grid point without a reading, between a station's first and last tick."""
-    t = panel.select("station_id", floor_ts("ts", freq_min * 60).alias("tick")).distinct()
-    bounds = t.groupBy("station_id").agg(F.min("tick").alias("_lo"), F.max("tick").alias("_hi"))
-    step = F.expr(f"INTERVAL {freq_min} MINUTES")
-    last = F.expr("INTERVAL 1 DAY") - step
-    day = F.explode(F.sequence(floor_ts("_lo", 86_400), floor_ts("_hi", 86_400), F.expr("INTERVAL 1 DAY")))
-    grid = (bounds.withColumn("day", day)                     # every day between, also those without any reading
-                .select("station_id", F.explode(F.sequence(F.greatest("day", "_lo"), F.least(F.col("day") + last, "_hi"), step)).alias("tick")))
-    return grid.join(t, ["station_id", "tick"], "left_anti")
+    """(station_id, day, tick) of every grid point without a reading, between a station's first and last tick; day is its midnight."""
+    step, day = freq_min * 60 * 1_000_000, 86_400_000_000
+    t = panel.select("station_id", micros(floor_ts("ts", freq_min * 60)).alias("tick")).filter("tick IS NOT NULL")
+    days = materialise(t.groupBy("station_id", (F.col("tick") - F.pmod("tick", F.lit(day))).alias("day")).agg(F.collect_set("tick").alias("present")))
+    bounds = days.groupBy("station_id").agg(F.min(F.array_min("present")).alias("_lo"), F.max(F.array_max("present")).alias("_hi"))
+    first = F.col("_lo") - F.pmod("_lo", F.lit(day))
+    every = bounds.withColumn("day", F.explode(F.sequence(first, "_hi", F.lit(day))))  # also days without any reading
+    grid = F.sequence(F.greatest("day", "_lo"), F.least(F.col("day") + (day - step), "_hi"), F.lit(step))
+    missing = F.when(F.col("present").isNull(), grid).otherwise(F.array_except(grid, "present"))
+    # a named number of partitions: few bytes become many ticks here, so tasks must not be merged by their size
+    parts = int(panel.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (every.repartition(parts, "station_id", "day").join(days.repartition(parts, "station_id", "day"), ["station_id", "day"], "left")
+            .select("station_id", from_micros(F.col("day")).alias("day"), F.explode(missing).alias("tick"))
+            .select("station_id", "day", from_micros(F.col("tick")).alias("tick")))

@@ -264,9 +264,8 @@ def panel_gaps(c):
             GROUP BY ALL) x""")
 def missing_ticks(c):
     """Grid ticks without a reading, counted per station and day, with the day's first."""
-    from dockcast.functions.columns import floor_ts
     from dockcast.operators.grid import missing_ticks as missing
-    return missing(c.panel).groupBy("station_id", floor_ts("tick", 86_400).alias("day")).agg(
+    return missing(c.panel).groupBy("station_id", "day").agg(
         F.count(F.lit(1)).alias("n_missing"), F.min("tick").alias("first_missing"))
 
 

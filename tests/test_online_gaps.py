@@ -54,3 +54,15 @@ def test_online_stream_serves_in_order_and_marks_late_readings(spark, tmpdir_pat
     late = spark.read.parquet(f"{tmpdir_path}/late").toPandas()
     got = {(r.station_id, r.event_id, r.served_ts.to_pydatetime()) for r in late.itertuples()}
     assert len(late) == 3 and got == {("s", 103, base + dt.timedelta(minutes=20)), ("s", 107, base + dt.timedelta(minutes=45)), ("other", 100, base)}
+
+
+def test_missing_ticks_joins_days_not_ticks(spark):
+    base = dt.datetime(2024, 1, 1, 22, 0)
+    at = [("a", 0), ("a", 7), ("a", 3 * 1440 + 3), ("b", 10), (None, 0), (None, 10)]
+    df = spark.createDataFrame([(s, base + dt.timedelta(minutes=m)) for s, m in at] + [("c", None), ("a", None)], "station_id string, ts timestamp_ntz")
+    out = missing_ticks(df)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(CASE") < plan.index("Join")             # ticks come out after the join
+    got = {(x.station_id, x.tick) for x in out.collect()}
+    want = {("a", base + dt.timedelta(minutes=5 * i)) for i in range(2, 3 * 288)} | {(None, base + dt.timedelta(minutes=m)) for m in (0, 5, 10)}
+    assert got == want
