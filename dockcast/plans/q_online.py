@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dockcast.functions.columns import from_micros, micros
+from dockcast.operators.dims import materialise
 from dockcast.plans.catalog import KEYS, register
 from dockcast.plans.sqltext import BASE, _window_sql, with_
 from dockcast.session import table_folder
@@ -22,7 +23,7 @@ split AS (SELECT *, held AND newest IS NOT NULL AND (ts < newest.ts OR (ts = new
 def _run(c):
     """Land the panel's readings, run the stream to its end; folders of served and late readings."""
     root = table_folder(c.spark)
-    p = c.panel.select("station_id", "ts", "event_id", "occ")
+    p = materialise(c.panel.select("station_id", "ts", "event_id", "occ"))        # read for its time span and for its rows
     when = F.when(F.col("event_id") % 29 == 0, F.lit(DROPS)).otherwise(by_time(p, "ts", DROPS))
     land(p, when, DROPS + 1, f"{root}/landing", files=FILES,
          write=lambda d, path: d.withColumn("ts", F.timestamp_micros(micros("ts"))).write.mode("append").parquet(path))

@@ -56,6 +56,30 @@ def test_online_stream_serves_in_order_and_marks_late_readings(spark, tmpdir_pat
     assert len(late) == 3 and got == {("s", 103, base + dt.timedelta(minutes=20)), ("s", 107, base + dt.timedelta(minutes=45)), ("other", 100, base)}
 
 
+def test_state_is_called_per_group_not_per_station(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(online, "GROUPS", 1)
+    base = dt.datetime(2024, 1, 1)
+    land = f"{tmpdir_path}/readings"
+    schema = "station_id string, ts timestamp, event_id long, occ float"
+    drops = [[(s, base + dt.timedelta(minutes=5 * i), 100 + i, 0.01 * i + n) for n, s in enumerate(["a", "b", None]) for i in at]
+             for at in (range(0, 40), range(40, 60))]
+    drops[1] += [("b", base, 1, 0.5), ("new", base, 1, 0.5)]
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{land}/p{i}")
+    q = online.start_online(spark, f"{land}/*", f"{tmpdir_path}/served", f"{tmpdir_path}/late", f"{tmpdir_path}/ck", max_files=1, available_now=True)
+    q.awaitTermination(120)
+    out = spark.read.parquet(f"{tmpdir_path}/served").toPandas()
+    assert len(out) == 181
+    for n, s in enumerate(["a", "b", None]):
+        own = out[out["station_id"].isna() if s is None else out["station_id"] == s].sort_values("ts")
+        line = np.array([0.01 * i + n for i in range(60)], np.float32)
+        assert np.array_equal(own["occ"], line)
+        for c, want in online.batch_features(line[:0], line).items():
+            assert np.array_equal(own[c], want, equal_nan=True)
+    late = spark.read.parquet(f"{tmpdir_path}/late").collect()
+    assert [(r.station_id, r.event_id, r.served_ts) for r in late] == [("b", 1, base + dt.timedelta(minutes=195))]
+
+
 def test_missing_ticks_joins_days_not_ticks(spark):
     base = dt.datetime(2024, 1, 1, 22, 0)
     at = [("a", 0), ("a", 7), ("a", 3 * 1440 + 3), ("b", 10), (None, 0), (None, 10)]
